@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from lodestrand.llm import lines
+from lodestrand.llm import content, lines
 from lodestrand.session import table
 
 
+def p1_found(spark, d):
+    return content.content_lines(table(spark, d, "items"))
+
+
 def p7_found(spark, d):
     return lines.repeated_lines(table(spark, d, "items"))
 
 
 def queries():
-    return {"p7_found": p7_found}
+    return {"p1_found": p1_found, "p7_found": p7_found}
 
 
 def oracle_sql():
