@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrand.llm.pages import PUNCT, Line, key, normal, read_page, site_key
+from lodestrand.llm.pages import PUNCT, Line, key, normal, read_page
 from lodestrand.session import ship
 
-STATS = "site bigint, kind tinyint, key bigint, n bigint, len bigint, punct bigint"
+STATS = "site string, kind tinyint, key bigint, n bigint, len bigint, punct bigint"
 PAGES, LINE, PATH = 0, 1, 2
 LINE_PAGES, LINE_SHARE = 3, 0.12  # a line is recurrent on so many pages and so large a share of its site's pages
 PATH_SHARE = 0.02  # paths on fewer of a site's pages are judged by the page alone
@@ -69,7 +69,7 @@ def ratio(n: int, length: int, punct: int) -> float:
 def _count(batches):
     """The first pass: statistics of a batch's pages, summed within the batch."""
     for batch in batches:
-        acc: dict[tuple[int, int, int], list[int]] = {}
+        acc: dict[tuple[str, int, int], list[int]] = {}
 
         def add(k, length, punct, acc=acc):
             if (a := acc.get(k)) is None:
@@ -79,12 +79,10 @@ def _count(batches):
                 a[1] += length
                 a[2] += punct
 
-        for url, content in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            name = site_key(url)
-            site = key(name)
+        for site, content in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             add((site, PAGES, 0), 0, 0)
             seen = set()
-            for x in read_page(content, name):
+            for x in read_page(content, site):
                 k = key(normal(x.text))
                 if k not in seen:
                     seen.add(k)
@@ -92,7 +90,7 @@ def _count(batches):
                 add((site, PATH, key(x.leaf)), len(x.text), len(PUNCT.findall(x.text)))
         keys, sums = list(zip(*acc, strict=True)) if acc else ((), (), ()), list(zip(*acc.values(), strict=True)) if acc else ((), (), ())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys[0], pa.int64()), pa.array(keys[1], pa.int8()), pa.array(keys[2], pa.int64()), *(pa.array(s, pa.int64()) for s in sums)],
+            [pa.array(keys[0], pa.string()), pa.array(keys[1], pa.int8()), pa.array(keys[2], pa.int64()), *(pa.array(s, pa.int64()) for s in sums)],
             ["site", "kind", "key", "n", "len", "punct"],
         )
 
@@ -163,7 +161,7 @@ def own_content(lines: list[Line], notes: Notes) -> list[bool]:
 
 
 def site_notes(pages: DataFrame) -> DataFrame:
-    """(site, pages, entries) for each site: see the module's docstring. pages: (item_id, site_url, content_text)."""
+    """(site, pages, entries) for each site: see the module's docstring. pages: (item_id, site, content_text)."""
     sums = pages.mapInArrow(_count, STATS).groupBy("site", "kind", "key").agg(F.sum("n").alias("n"), F.sum("len").alias("len"), F.sum("punct").alias("punct"))
     totals = sums.filter(F.col("kind") == PAGES).select("site", F.col("n").alias("pages"))
     rest = sums.filter((F.col("kind") != PAGES) & (F.col("n") >= LINE_PAGES))
@@ -175,18 +173,15 @@ def site_notes(pages: DataFrame) -> DataFrame:
 
 def with_notes(pages: DataFrame) -> DataFrame:
     """Each page with the notes of its site; sites without any get NULL. The hot sites' pages are split by AQE."""
-    notes = site_notes(pages)
-    key_of = F.when(F.col("site_url").isNull(), "").otherwise(F.regexp_replace(F.lower("site_url"), "/$", ""))
-    return pages.withColumn("__site", F.xxhash64(key_of)).join(notes.withColumnRenamed("site", "__site"), "__site", "left")
+    return pages.join(site_notes(pages), "site", "left").select("item_id", "site", "content_text", "pages", "entries")
 
 
 def each_page(batches):
-    """Of joined batches (item_id, site_url, content_text, pages, entries): item, site, lines, what to keep, notes."""
+    """Of joined batches (item_id, site, content_text, pages, entries): item, site, lines, what to keep, notes."""
     held: dict[str, Notes] = {}
     for batch in batches:
         ids, sites, texts = (batch.column(i).to_pylist() for i in range(3))
-        for i, (item, url, content) in enumerate(zip(ids, sites, texts, strict=True)):
-            name = site_key(url)
+        for i, (item, name, content) in enumerate(zip(ids, sites, texts, strict=True)):
             if (notes := held.get(name)) is None:
                 if len(held) >= 64:
                     held.clear()
@@ -213,9 +208,10 @@ def _select(batches):
 
 
 def pages_of(items: DataFrame, item: str = "item_id", site: str = "site_url", text: str = "content_text") -> DataFrame:
-    """The three columns the passes need, of items with text."""
+    """The three columns the passes need, of items with text; the site as `site_key` names it."""
     ship(items.sparkSession)
-    return items.select(F.col(item).cast("bigint").alias("item_id"), F.col(site).cast("string").alias("site_url"), F.col(text).cast("string").alias("content_text")).filter("content_text IS NOT NULL")
+    name = F.coalesce(F.regexp_replace(F.lower(F.col(site).cast("string")), "/$", ""), F.lit(""))
+    return items.select(F.col(item).cast("bigint").alias("item_id"), name.alias("site"), F.col(text).cast("string").alias("content_text")).filter("content_text IS NOT NULL")
 
 
 def content_lines(items: DataFrame, *, item: str = "item_id", site: str = "site_url", text: str = "content_text") -> DataFrame:
@@ -225,4 +221,4 @@ def content_lines(items: DataFrame, *, item: str = "item_id", site: str = "site_
     other columns are ignored. An empty table gives an empty result.
     """
     joined = with_notes(pages_of(items, item, site, text))
-    return joined.select("item_id", "site_url", "content_text", "pages", "entries").mapInArrow(_select, "item_id bigint, line_no bigint")
+    return joined.mapInArrow(_select, "item_id bigint, line_no bigint")
