@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lodestrand.llm import content, lines
+from lodestrand.llm import content, lines, residue, spam
 from lodestrand.session import table
 
 
@@ -10,12 +10,20 @@ def p1_found(spark, d):
     return content.content_lines(table(spark, d, "items"))
 
 
+def p3_found(spark, d):
+    return residue.residue_rows(table(spark, d, "items")).select("item_id")
+
+
+def p6_found(spark, d):
+    return spam.spam_pages(table(spark, d, "items"))
+
+
 def p7_found(spark, d):
     return lines.repeated_lines(table(spark, d, "items"))
 
 
 def queries():
-    return {"p1_found": p1_found, "p7_found": p7_found}
+    return {"p1_found": p1_found, "p3_found": p3_found, "p6_found": p6_found, "p7_found": p7_found}
 
 
 def oracle_sql():
