@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lodestrand.llm import content, lines, residue, spam
+from lodestrand.llm import content, lines, markup, mixing, residue, spam, tokens
 from lodestrand.session import table
 
 
@@ -14,6 +14,14 @@ def p3_found(spark, d):
     return residue.residue_rows(table(spark, d, "items")).select("item_id")
 
 
+def p5_found(spark, d):
+    return markup.markup_languages(table(spark, d, "documents"))
+
+
+def p5_clean(spark, d):
+    return markup.clean_texts(table(spark, d, "documents"))
+
+
 def p6_found(spark, d):
     return spam.spam_pages(table(spark, d, "items"))
 
@@ -22,8 +30,28 @@ def p7_found(spark, d):
     return lines.repeated_lines(table(spark, d, "items"))
 
 
+def p7_near(spark, d):
+    return lines.repeated_lines(table(spark, d, "items"), near=True)
+
+
+def p8_ids(spark, d):
+    return tokens.token_ids(table(spark, d, "documents"))
+
+
+def p9_copies(spark, d):
+    return mixing.copies(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p9_shares(spark, d):
+    targets = table(spark, d, "mix_targets")
+    return mixing.shares(mixing.copies(table(spark, d, "documents"), targets), targets)
+
+
+NAMES = ("p1_found", "p3_found", "p5_found", "p5_clean", "p6_found", "p7_found", "p7_near", "p8_ids", "p9_copies", "p9_shares")
+
+
 def queries():
-    return {"p1_found": p1_found, "p3_found": p3_found, "p6_found": p6_found, "p7_found": p7_found}
+    return {name: globals()[name] for name in NAMES}
 
 
 def oracle_sql():
