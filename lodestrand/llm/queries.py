@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lodestrand.llm import content, lines, markup, mixing, residue, spam, tokens
+from lodestrand.llm import content, cut, lines, markup, mixing, residue, spam, tokens
 from lodestrand.session import table
 
 
@@ -47,7 +47,15 @@ def p9_shares(spark, d):
     return mixing.shares(mixing.copies(table(spark, d, "documents"), targets), targets)
 
 
-NAMES = ("p1_found", "p3_found", "p5_found", "p5_clean", "p6_found", "p7_found", "p7_near", "p8_ids", "p9_copies", "p9_shares")
+def p10_found(spark, d):
+    return cut.cut_documents(table(spark, d, "documents"))
+
+
+def p10_rates(spark, d):
+    return cut.cut_rates(table(spark, d, "documents"))
+
+
+NAMES = ("p1_found", "p3_found", "p5_found", "p5_clean", "p6_found", "p7_found", "p7_near", "p8_ids", "p9_copies", "p9_shares", "p10_found", "p10_rates")
 
 
 def queries():
@@ -55,4 +63,7 @@ def queries():
 
 
 def oracle_sql():
-    return {}
+    found = cut.oracle()
+    rates = f"""WITH cut AS ({found}) SELECT d.source, count(*) AS documents, count(cut.doc_id) AS cut_documents, count(cut.doc_id) / count(*) AS rate
+        FROM documents d LEFT JOIN cut ON cut.doc_id = d.doc_id GROUP BY d.source"""
+    return {"p10_found": found, "p10_rates": rates}
