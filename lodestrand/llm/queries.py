@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from lodestrand.llm import content, cut, lines, markup, mixing, residue, spam, tokens
+from lodestrand.llm import content, cut, lines, markup, mixing, neardup, residue, spam, tokens
+from pyspark.sql import functions as F
+
 from lodestrand.session import table
 
 
@@ -14,6 +16,14 @@ def p3_found(spark, d):
     return residue.residue_rows(table(spark, d, "items")).select("item_id")
 
 
+def p4_found(spark, d):
+    return neardup.join_texts(table(spark, d, "items")).pairs().select(F.col("a").alias("item_id_a"), F.col("b").alias("item_id_b"))
+
+
+def p4_groups(spark, d):
+    return neardup.join_texts(table(spark, d, "items")).groups().withColumnRenamed("doc", "item_id")
+
+
 def p5_found(spark, d):
     return markup.markup_languages(table(spark, d, "documents"))
 
@@ -55,7 +65,7 @@ def p10_rates(spark, d):
     return cut.cut_rates(table(spark, d, "documents"))
 
 
-NAMES = ("p1_found", "p3_found", "p5_found", "p5_clean", "p6_found", "p7_found", "p7_near", "p8_ids", "p9_copies", "p9_shares", "p10_found", "p10_rates")
+NAMES = ("p1_found", "p3_found", "p4_found", "p4_groups", "p5_found", "p5_clean", "p6_found", "p7_found", "p7_near", "p8_ids", "p9_copies", "p9_shares", "p10_found", "p10_rates")
 
 
 def queries():
