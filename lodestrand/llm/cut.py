@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrand.llm.spam import FUNCTION
+from lodestrand.session import materialise
 
 # More words that build sentences and headings rather than name things.
 MORE = (
@@ -22,8 +23,9 @@ MORE = (
 )
 WORDS = sorted(FUNCTION | set(MORE.split()))
 NAME = "\ue000"  # stands for a capitalised word that does not begin a line or sentence
-MARK = r"(\[(more|\.\.\.|…)\]|\((cont|more)[^()]*\)?|…|\.\.\.|\x{FFFD}+)$"
-IN_TAG = r"<(/?[a-zA-Z][^<>]*|!-*[^<>]*)?$"
+MARK = r"(\[(more|\.\.\.|…)\]|\((cont|continued|more)\.*\)?|…|\.\.\.|\x{FFFD}+)$"
+MARK_CHARS = 40  # no mark is longer
+IN_TAG = r"^(/?[a-zA-Z][^<>]*|!-*[^<>]*)?$"  # of what follows the last '<'
 WHOLE = """'.', '!', '?', '。', '”', '"', '»', ')', ']', '}', '>'"""
 # A trigram tells if it is inside so often; it is almost never at an end if so many times rarer there.
 FEW, RARER, STRONG, STRONGER = 3, 50, 100, 100
@@ -37,40 +39,65 @@ def _flag(i3: str, t3: str, i4: str, t4: str) -> str:
     )
 
 
-def _sql(documents: str) -> str:
-    """The query in Spark's SQL. documents: a view of (doc_id, text)."""
-    words = ", ".join(f"'{w}'" for w in WORDS)
+def _coarse(x: str) -> str:
+    """What is told apart of a token in the long gram: function words and signs. A word of one letter differs by case."""
+    return f"CASE WHEN {x} IN ({', '.join(repr(w) for w in WORDS)}) THEN {x} WHEN octet_length({x}) > 4 OR upper({x}) <> {x} THEN 'w' ELSE {x} END"
 
-    def coarse(x):  # what is told apart of a token in the long gram
-        return f"CASE WHEN {x} IN ({words}) OR NOT {x} RLIKE '^\\\\p{{L}}' THEN {x} ELSE 'w' END"
 
-    mask = f"lower(regexp_replace(regexp_replace(t, '(?<=[\\\\p{{L}}\\\\p{{N}},;:] |[\"“(])\\\\p{{Lu}}[\\\\p{{L}}\\\\p{{M}}]*', '{NAME}'), '\\\\p{{N}}+', '0'))"
+def _escaped(pattern: str) -> str:
+    return pattern.replace("\\", "\\\\")
+
+
+def _tokens(texts: str) -> str:
+    """(doc_id, t, w): the tokens of each text in Spark's SQL, two line ends before them and one after."""
+    # The capital is looked for first: what stands before it is tested at capitals only.
+    name = r"\p{Lu}(?<=(?:[\p{L}\p{N},;:] |[\"“(])\p{Lu})[\p{L}\p{M}]*"
+    mask = f"lower(regexp_replace(regexp_replace(t, '{_escaped(name)}', '{NAME}'), '{_escaped(chr(92) + "p{N}+")}', '0'))"
+    token = r"[\p{L}\p{M}]+|\n|[^\s\p{L}\p{M}]"
+    return f"SELECT doc_id, t, concat(array('\\n', '\\n'), regexp_extract_all({mask}, '{_escaped(token)}', 0), array('\\n')) AS w FROM ({texts})"
+
+
+def _texts(documents: str) -> str:
+    """(doc_id, t): texts without white space at their end, a line end as one sign."""
+    return f"SELECT doc_id, regexp_replace(t, '{_escaped(chr(91) + chr(92) + "r" + chr(92) + "n]" + chr(92) + "s*")}', '\\n') AS t FROM (SELECT doc_id, rtrim(' \\t\\n\\r\\f\\u00a0\\ufeff', text) AS t FROM {documents} WHERE text IS NOT NULL) WHERE t <> ''"
+
+
+def _counts_sql(documents: str) -> str:
+    """(kind, k, d, inside, ends): how often token d follows the grams k inside a line and at its end."""
+    tokens = _tokens(_texts(documents))
+    shifted = ", ".join(f"slice(w, {i}, size(w) - 4)" for i in range(1, 6))
     return f"""
-WITH texts AS (
-    SELECT doc_id, text, regexp_replace(regexp_replace(text, '[\\\\s\\\\x{{FEFF}}]+$', ''), '\\\\s*[\\\\r\\\\n]\\\\s*', '\\n') AS t FROM {documents} WHERE text IS NOT NULL
-), tokens AS (
-    SELECT doc_id, t, concat(array('\\n', '\\n'), regexp_extract_all({mask}, '[\\\\p{{L}}\\\\p{{M}}]+|\\n|[^\\\\s\\\\p{{L}}\\\\p{{M}}]', 0), array('\\n')) AS w FROM texts WHERE t <> ''
-), grams AS (
-    SELECT inline(arrays_zip(slice(w, 1, size(w) - 4), slice(w, 2, size(w) - 4), slice(w, 3, size(w) - 4), slice(w, 4, size(w) - 4), slice(w, 5, size(w) - 4))) AS (a, b, c, d, e) FROM tokens WHERE size(w) >= 6
-), keyed AS (
-    SELECT inline(array(named_struct('kind', 3, 'k', xxhash64(b, c), 'd', d, 'ends', e = '\\n'), named_struct('kind', 4, 'k', xxhash64({coarse('a')}, {coarse('b')}, {coarse('c')}), 'd', {coarse('d')}, 'ends', e = '\\n')))
+WITH grams AS (SELECT inline(arrays_zip({shifted})) AS (a, b, c, d, e) FROM ({tokens}) WHERE size(w) >= 6),
+keyed AS (
+    SELECT inline(array(
+        named_struct('kind', 3, 'k', xxhash64(b, c), 'd', d, 'inside', e <> '\\n'),
+        named_struct('kind', 4, 'k', xxhash64({_coarse('a')}, {_coarse('b')}, {_coarse('c')}), 'd', {_coarse('d')}, 'inside', e <> '\\n')))
     FROM grams WHERE d <> '\\n'
-), counts AS (
-    SELECT kind, k, d, sum(CASE WHEN ends THEN 0 ELSE 1 END) AS inside, sum(CASE WHEN ends THEN 1 ELSE 0 END) AS ends FROM keyed GROUP BY kind, k, d
-), finals AS (
-    SELECT doc_id, marked, a, b, c, d, xxhash64(b, c) AS k3, xxhash64({coarse('a')}, {coarse('b')}, {coarse('c')}) AS k4, {coarse('d')} AS d4, d RLIKE '^\\\\p{{L}}' AS word
-    FROM (SELECT doc_id, t RLIKE '{MARK.replace(chr(92), chr(92) * 2)}' OR t RLIKE '{IN_TAG}' AS marked, element_at(w, -5) AS a, element_at(w, -4) AS b, element_at(w, -3) AS c, element_at(w, -2) AS d FROM tokens WHERE size(w) >= 6)
-    WHERE marked OR d NOT IN ({WHOLE})
-), open3 AS (
+)
+SELECT kind, k, d, count_if(inside) AS inside, count_if(NOT inside) AS ends FROM keyed GROUP BY kind, k, d"""
+
+
+def _finals_sql(documents: str) -> str:
+    """The last gram of each text that does not end as whole texts do; marked: it ends in a mark of the cut or in a tag."""
+    marked = f"right(t, {MARK_CHARS}) RLIKE '{_escaped(MARK)}' OR (instr(t, '<') > 0 AND substring_index(t, '<', -1) RLIKE '{IN_TAG}')"
+    texts = f"SELECT * FROM (SELECT *, {marked} AS marked FROM ({_texts(documents)})) WHERE marked OR right(t, 1) NOT IN ({WHOLE})"
+    tokens = _tokens(texts).replace("SELECT doc_id, t,", "SELECT doc_id, marked,", 1)
+    last = f"SELECT doc_id, marked, element_at(w, -5) AS a, element_at(w, -4) AS b, element_at(w, -3) AS c, element_at(w, -2) AS d FROM ({tokens}) WHERE size(w) >= 6"
+    return f"SELECT doc_id, marked, xxhash64(b, c) AS k3, xxhash64({_coarse('a')}, {_coarse('b')}, {_coarse('c')}) AS k4, d, {_coarse('d')} AS d4, octet_length(d) > 4 OR upper(d) <> d AS word FROM ({last})"
+
+
+def _found_sql(finals: str, counts: str) -> str:
+    return f"""
+WITH open3 AS (
     SELECT f.k3, f.d, sum(c.inside) AS inside, sum(CASE WHEN c.d = f.d THEN c.ends ELSE 0 END) AS ends
-    FROM (SELECT DISTINCT k3, d, word, substring(d, 1, 1) AS first FROM finals WHERE NOT marked) f
-    JOIN (SELECT k, d, inside, ends, substring(d, 1, 1) AS first FROM counts WHERE kind = 3) c ON c.k = f.k3 AND c.first = f.first AND (c.d = f.d OR (f.word AND startswith(c.d, f.d))) GROUP BY f.k3, f.d
+    FROM (SELECT DISTINCT k3, d, word, left(d, 1) AS first FROM {finals} WHERE NOT marked) f
+    JOIN (SELECT k, d, inside, ends, left(d, 1) AS first FROM {counts} WHERE kind = 3) c ON c.k = f.k3 AND c.first = f.first AND (c.d = f.d OR (f.word AND startswith(c.d, f.d))) GROUP BY f.k3, f.d
 ), open4 AS (
     SELECT f.k4, f.d, sum(c.inside) AS inside, sum(CASE WHEN c.d = f.d4 THEN c.ends ELSE 0 END) AS ends
-    FROM (SELECT DISTINCT k4, d, d4, word FROM finals WHERE NOT marked) f
-    JOIN (SELECT k, d, inside, ends FROM counts WHERE kind = 4) c ON c.k = f.k4 AND (c.d = f.d4 OR (f.word AND startswith(c.d, f.d))) GROUP BY f.k4, f.d
+    FROM (SELECT DISTINCT k4, d, d4, word FROM {finals} WHERE NOT marked) f
+    JOIN (SELECT k, d, inside, ends FROM {counts} WHERE kind = 4) c ON c.k = f.k4 AND (c.d = f.d4 OR (f.word AND startswith(c.d, f.d))) GROUP BY f.k4, f.d
 )
-SELECT f.doc_id FROM finals f LEFT JOIN open3 x ON x.k3 = f.k3 AND x.d = f.d LEFT JOIN open4 y ON y.k4 = f.k4 AND y.d = f.d
+SELECT f.doc_id FROM {finals} f LEFT JOIN open3 x ON x.k3 = f.k3 AND x.d = f.d LEFT JOIN open4 y ON y.k4 = f.k4 AND y.d = f.d
 WHERE f.marked OR {_flag('coalesce(x.inside, 0)', '(coalesce(x.ends, 1) - 1)', 'coalesce(y.inside, 0)', '(coalesce(y.ends, 1) - 1)')}
 """
 
@@ -81,9 +108,14 @@ def cut_documents(documents: DataFrame, *, doc: str = "doc_id", text: str = "tex
     NULL, empty and blank texts, and texts of fewer than three tokens without a mark, are none. Repeated ids are judged
     each by themselves; other columns are ignored; an empty table gives an empty result.
     """
-    view = "lodestrand_cut_documents"
+    spark, view = documents.sparkSession, "lodestrand_cut_documents"
     documents.select(F.col(doc).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).createOrReplaceTempView(view)
-    return documents.sparkSession.sql(_sql(view))
+    # Both are read more than once below: written, so that the texts are cut into tokens once.
+    materialise(spark.sql(_finals_sql(view)), "p10-finals").createOrReplaceTempView("lodestrand_cut_finals")
+    keys = "SELECT k3 AS k, 3 AS kind FROM lodestrand_cut_finals WHERE NOT marked UNION SELECT k4, 4 FROM lodestrand_cut_finals WHERE NOT marked"
+    counts = f"SELECT c.* FROM ({_counts_sql(view)}) c LEFT SEMI JOIN ({keys}) f ON f.kind = c.kind AND f.k = c.k"
+    materialise(spark.sql(counts), "p10-counts").createOrReplaceTempView("lodestrand_cut_counts")
+    return spark.sql(_found_sql("lodestrand_cut_finals", "lodestrand_cut_counts"))
 
 
 def cut_rates(documents: DataFrame, *, doc: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -96,17 +128,13 @@ def cut_rates(documents: DataFrame, *, doc: str = "doc_id", text: str = "text",
 
 def oracle() -> str:
     """The same in DuckDB's SQL."""
-    words = ", ".join(f"'{w}'" for w in WORDS)
-
-    def coarse(x):
-        return f"CASE WHEN {x} IN ({words}) OR NOT regexp_matches({x}, '^\\p{{L}}') THEN {x} ELSE 'w' END"
-
+    coarse = lambda x: _coarse(x).replace("octet_length(", "strlen(")
     cap = r"""([\p{L}\p{N}\x{E000},;:] |["“(])\p{Lu}[\p{L}\p{M}]*"""
     mask = f"lower(regexp_replace(regexp_replace(regexp_replace(t, '{cap}', '\\1{NAME}', 'g'), '{cap}', '\\1{NAME}', 'g'), '\\p{{N}}+', '0', 'g'))"
     nl = "chr(10)"
     return f"""
 WITH texts AS (
-    SELECT doc_id, text, regexp_replace(regexp_replace(text, '[\\s\\x{{FEFF}}]+$', ''), '\\s*[\\r\\n]\\s*', {nl}, 'g') AS t FROM documents WHERE text IS NOT NULL
+    SELECT doc_id, text, regexp_replace(rtrim(text, ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(160) || chr(65279)), '[\\r\\n]\\s*', {nl}, 'g') AS t FROM documents WHERE text IS NOT NULL
 ), tokens AS (
     SELECT doc_id, t, list_concat([{nl}, {nl}], list_concat(regexp_extract_all({mask}, '[\\p{{L}}\\p{{M}}]+|\\n|[^\\s\\p{{L}}\\p{{M}}]'), [{nl}])) AS w FROM texts WHERE t <> ''
 ), grams AS (
@@ -116,8 +144,8 @@ WITH texts AS (
 ), c4 AS (
     SELECT {coarse('a')} AS a, {coarse('b')} AS b, {coarse('c')} AS c, {coarse('d')} AS d, sum(CASE WHEN e = {nl} THEN 0 ELSE 1 END) AS inside, sum(CASE WHEN e = {nl} THEN 1 ELSE 0 END) AS ends FROM grams WHERE d <> {nl} GROUP BY 1, 2, 3, 4
 ), finals AS (
-    SELECT *, {coarse('a')} AS a4, {coarse('b')} AS b4, {coarse('c')} AS c4, {coarse('d')} AS d4, regexp_matches(d, '^\\p{{L}}') AS word
-    FROM (SELECT doc_id, regexp_matches(t, '{MARK}') OR regexp_matches(t, '{IN_TAG}') AS marked, w[-5] AS a, w[-4] AS b, w[-3] AS c, w[-2] AS d FROM tokens WHERE len(w) >= 6)
+    SELECT *, {coarse('a')} AS a4, {coarse('b')} AS b4, {coarse('c')} AS c4, {coarse('d')} AS d4, strlen(d) > 4 OR upper(d) <> d AS word
+    FROM (SELECT doc_id, regexp_matches(right(t, {MARK_CHARS}), '{MARK}') OR (contains(t, '<') AND regexp_matches(string_split(t, '<')[-1], '{IN_TAG}')) AS marked, w[-5] AS a, w[-4] AS b, w[-3] AS c, w[-2] AS d FROM tokens WHERE len(w) >= 6)
     WHERE marked OR d NOT IN ({WHOLE})
 ), open3 AS (
     SELECT f.b, f.c, f.d, sum(c3.inside) AS inside, sum(CASE WHEN c3.d = f.d THEN c3.ends ELSE 0 END) AS ends
