@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrand.llm.pages import PUNCT, Line, key, normal, read_page
-from lodestrand.session import ship
+from lodestrand.session import materialise, ship
 
 STATS = "site string, kind tinyint, key bigint, n bigint, len bigint, punct bigint"
 PAGES, LINE, PATH = 0, 1, 2
@@ -163,8 +163,10 @@ def own_content(lines: list[Line], notes: Notes) -> list[bool]:
 def site_notes(pages: DataFrame) -> DataFrame:
     """(site, pages, entries) for each site: see the module's docstring. pages: (item_id, site, content_text)."""
     sums = pages.mapInArrow(_count, STATS).groupBy("site", "kind", "key").agg(F.sum("n").alias("n"), F.sum("len").alias("len"), F.sum("punct").alias("punct"))
+    # Read twice below: written, so that the pages are counted once. Most lines stand on one page and are gone by now.
+    sums = materialise(sums.filter((F.col("kind") == PAGES) | (F.col("n") >= LINE_PAGES)), "site-sums")
     totals = sums.filter(F.col("kind") == PAGES).select("site", F.col("n").alias("pages"))
-    rest = sums.filter((F.col("kind") != PAGES) & (F.col("n") >= LINE_PAGES))
+    rest = sums.filter(F.col("kind") != PAGES)
     floor = F.when(F.col("kind") == LINE, LINE_SHARE).otherwise(PATH_SHARE)
     kept = rest.join(totals, "site").filter(F.col("n") >= floor * F.col("pages"))
     entries = kept.groupBy("site").agg(F.first("pages").alias("pages"), F.collect_list(F.struct("kind", "key", "n", "len", "punct")).alias("entries"))
