@@ -26,6 +26,7 @@ STATS = "site string, kind tinyint, key bigint, n bigint, len bigint, punct bigi
 PAGES, LINE, PATH = 0, 1, 2
 LINE_PAGES, LINE_SHARE = 3, 0.12  # a line is recurrent on so many pages and so large a share of its site's pages
 PATH_SHARE = 0.02  # paths on fewer of a site's pages are judged by the page alone
+HOT_SHARE, HOT_PAGES = 0.01, 1000  # a site with so large a share and so many pages is spread over several tasks
 LOW = 8.0  # smoothed ratio below which a path is no content
 LOW_BOX = 7.0
 
@@ -160,22 +161,31 @@ def own_content(lines: list[Line], notes: Notes) -> list[bool]:
     return keep
 
 
-def site_notes(pages: DataFrame) -> DataFrame:
-    """(site, pages, entries) for each site: see the module's docstring. pages: (item_id, site, content_text)."""
+def site_notes(pages: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """(site, pages, entries) for each site (see the module's docstring), and over how many tasks each hot site is to be
+    spread. pages: (item_id, site, content_text). Hot sites are those with HOT_SHARE of all pages, so few at any size."""
     sums = pages.mapInArrow(_count, STATS).groupBy("site", "kind", "key").agg(F.sum("n").alias("n"), F.sum("len").alias("len"), F.sum("punct").alias("punct"))
-    # Read twice below: written, so that the pages are counted once. Most lines stand on one page and are gone by now.
+    # Read more than once below: written, so that the pages are counted once. Most lines stand on one page and are gone by now.
     sums = materialise(sums.filter((F.col("kind") == PAGES) | (F.col("n") >= LINE_PAGES)), "site-sums")
     totals = sums.filter(F.col("kind") == PAGES).select("site", F.col("n").alias("pages"))
+    every = totals.agg(F.coalesce(F.sum("pages"), F.lit(0)).alias("s")).first()["s"]
+    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = totals.filter((F.col("pages") >= HOT_SHARE * every) & (F.col("pages") >= HOT_PAGES)).collect()  # at most 1 / HOT_SHARE rows
+    spread = {r["site"]: min(tasks, -(-2 * tasks * r["pages"] // every)) for r in hot}
     rest = sums.filter(F.col("kind") != PAGES)
     floor = F.when(F.col("kind") == LINE, LINE_SHARE).otherwise(PATH_SHARE)
     kept = rest.join(totals, "site").filter(F.col("n") >= floor * F.col("pages"))
-    entries = kept.groupBy("site").agg(F.first("pages").alias("pages"), F.collect_list(F.struct("kind", "key", "n", "len", "punct")).alias("entries"))
-    return entries
+    return kept.groupBy("site").agg(F.first("pages").alias("pages"), F.collect_list(F.struct("kind", "key", "n", "len", "punct")).alias("entries")), spread
 
 
 def with_notes(pages: DataFrame) -> DataFrame:
-    """Each page with the notes of its site; sites without any get NULL. The hot sites' pages are split by AQE."""
-    return pages.join(site_notes(pages), "site", "left").select("item_id", "site", "content_text", "pages", "entries")
+    """Each page with the notes of its site; sites without any get NULL. Hot sites are salted: their pages go to several
+    tasks by a hash of the id, and their one row of notes goes to each of these."""
+    notes, spread = site_notes(pages)
+    many = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in spread.items() for x in kv)), F.col("site")), F.lit(1)) if spread else F.lit(1)
+    salted = pages.withColumn("salt", F.pmod(F.xxhash64("item_id"), many).cast("int"))
+    copied = notes.withColumn("salt", F.explode(F.sequence(F.lit(0), many - 1)))
+    return salted.join(copied, ["site", "salt"], "left").select("item_id", "site", "content_text", "pages", "entries")
 
 
 def each_page(batches):
