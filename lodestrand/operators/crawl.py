@@ -19,6 +19,11 @@ def seeds(spark, config: CrawlConfig) -> DataFrame:
     return spark.createDataFrame([(u, i) for i, u in enumerate(urls)], "url string, seq bigint")
 
 
+def with_root(links: DataFrame, config: CrawlConfig) -> DataFrame:
+    """Links to the site without its last slash lead to the root, which keeps it: they are one page."""
+    return links.withColumn("dst", F.when(F.col("dst") == config.site_url.rstrip("/"), config.site_url).otherwise(F.col("dst")))
+
+
 def traverse(start: DataFrame, edges: DataFrame, *, reject: Column | None = None, max_pages: int | None = None, max_depth: int | None = None, order: bool = True) -> DataFrame:
     """(url, depth, place, reason): every URL that the start reaches, once.
 
@@ -115,11 +120,12 @@ def crawl_items(
     at most `backlinks_kept` of them become the array. The root's and the seeds' sort order is 0.
     """
     spark = fetches.sparkSession
+    links = with_root(links, config)
     reached = traverse(seeds(spark, config), links, reject=verdict(F.col("url"), config), max_pages=config.max)
     first = order if order is not None else sort_order(links)
     got = reached.join(fetches, "url", "left").join(pages, "url", "left")
     final = F.coalesce("final_url", F.col("url"))
-    got = got.withColumn("final", F.regexp_replace(final, "#.*$", "")).withColumn("target", F.regexp_replace("final", "/$", ""))
+    got = got.withColumn("final", F.regexp_replace(final, "#.*$", "")).withColumn("target", F.when(F.col("final") == config.site_url, F.col("final")).otherwise(F.regexp_replace("final", "/$", "")))
     back = backlinks(links, backlinks_kept).select(F.col("dst").alias("target"), "backlinks")
     got = got.join(back, "target", "left").join(first.select(F.col("dst").alias("url"), "sortorder"), "url", "left")
     text = F.when(within_size(F.col("content_text"), config.maxsize), F.col("content_text"))

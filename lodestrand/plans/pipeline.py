@@ -61,7 +61,7 @@ def _crawl(ctx: Context, options: Mapping[str, str], previous: DataFrame | None)
     # Links are relative to where a page was found, and belong to the URL that was asked for.
     links = pages.extract_links(patched.join(fetches.select("url", "final_url"), "url").select(F.coalesce("final_url", "url").alias("url"), F.lit(0).alias("seq"), "html"))
     asked = fetches.select(F.coalesce("final_url", "url").alias("src"), F.col("url").alias("asked"))
-    edges = links.join(asked, "src").withColumn("src", F.col("asked")).drop("asked")
+    edges = crawl.with_root(links.join(asked, "src").withColumn("src", F.col("asked")).drop("asked"), config)
     clean = pages.clean_pages(patched.select("url", "html")).join(patched.select("url", "html_raw"), "url")
     reached = crawl.traverse(crawl.seeds(ctx.spark, config), edges, reject=filters.verdict(F.col("url"), config), max_pages=config.max)
     ordered = edges.join(reached.select(F.col("url").alias("src"), "place"), "src").withColumn("seq", F.col("place")).drop("place")
