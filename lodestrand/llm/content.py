@@ -67,6 +67,11 @@ def ratio(n: int, length: int, punct: int) -> float:
     return sqrt(length / n * (1 + punct / n)) if n else 0.0
 
 
+def line_key(x: Line, norm: str) -> int:
+    """What is counted as the same line: a bare link is another than the same words as text."""
+    return key("\x01" + norm) if x.leaf.endswith("/a") else key(norm)
+
+
 def _count(batches):
     """The first pass: statistics of a batch's pages, summed within the batch."""
     for batch in batches:
@@ -84,7 +89,7 @@ def _count(batches):
             add((site, PAGES, 0), 0, 0)
             seen = set()
             for x in read_page(content, site):
-                k = key(normal(x.text))
+                k = line_key(x, normal(x.text))
                 if k not in seen:
                     seen.add(k)
                     add((site, LINE, k), 0, 0)
@@ -112,7 +117,7 @@ def own_content(lines: list[Line], notes: Notes) -> list[bool]:
     if not lines:
         return []
     norms = [normal(x.text) for x in lines]
-    shares = [notes.lines.get(key(n), 0.0) for n in norms]
+    shares = [notes.lines.get(line_key(x, n), 0.0) for x, n in zip(lines, norms, strict=True)]
     cues = [is_cue(n) for n in norms]
     own: dict[str, list[int]] = {}
     for x in lines:
@@ -130,21 +135,29 @@ def own_content(lines: list[Line], notes: Notes) -> list[bool]:
     for i in range(n):
         near = [(fused[j], 2 if j == i else 1) for j in range(max(0, i - 2), min(n, i + 3)) if lines[j].spot == lines[i].spot]
         smooth.append(sum(v * w for v, w in near) / sum(w for _, w in near))
+    # An element is as strong as its strongest node; where a page has many copies on its site, none of its lines has a
+    # weight of its own, so an inner element with the page's heading is taken at the full ratios.
+    headed = {x.spot for x in lines if x.tag == "h1" and x.boxes > 2 and not x.leaf.endswith("/a")}
     best: dict[int, float] = {}
-    for x, f in zip(lines, fused, strict=True):
+    for x, f, cue in zip(lines, fused, cues, strict=True):
+        if x.spot in headed and not f and not cue:
+            f = notes.paths.get(key(x.leaf), 0.0)
         best[x.spot] = max(best.get(x.spot, 0.0), f)
-    # Lists of bare links: their run in one element is content only where it leads away from the site.
+    # Lists of bare links: their run, or all of one inner element, is content only where it leads away from the site.
     bare = [x.leaf.endswith("/a") for x in lines]
+    lists: dict[object, list[int]] = {}
+    run = 0
+    for i, x in enumerate(lines):
+        if bare[i]:
+            lists.setdefault(x.spot if x.boxes > 2 else (x.spot, run), []).append(i)
+        else:
+            run += 1
     away = [False] * n
-    i = 0
-    while i < n:
-        j = i
-        while j < n and bare[j] and lines[j].spot == lines[i].spot:
-            j += 1
-        out = sum(x.away for x in lines[i:j])
-        if j - i >= 4 and out >= 3 and out * 8 >= j - i:
-            away[i:j] = [True] * (j - i)
-        i = max(j, i + 1)
+    for at in lists.values():
+        out = sum(lines[i].away for i in at)
+        if len(at) >= 4 and out >= 3 and out * 8 >= len(at):
+            for i in at:
+                away[i] = True
     keep = []
     for i, x in enumerate(lines):
         if cues[i]:
@@ -153,7 +166,7 @@ def own_content(lines: list[Line], notes: Notes) -> list[bool]:
             # Copies of a page repeat its lines too: text of a strong element stays unless most pages have it.
             prose = len(x.text) >= 60 and PUNCT.search(x.text[-1:]) and best[x.spot] >= LOW_BOX
             inner = not bare[i] and x.boxes > 2 and best[x.spot] >= 2 * LOW_BOX
-            keep.append(bool((prose or inner) and shares[i] < 0.35))
+            keep.append(bool(prose and shares[i] < 0.35 or inner and shares[i] < 0.6))
         elif bare[i]:
             keep.append(away[i])
         else:
