@@ -13,7 +13,7 @@ def spark():
 
     s = (
         SparkSession.builder.master("local[4]").appName("tests")
-        .config("spark.driver.memory", "3g").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "3g").config("spark.sql.shuffle.partitions", "2").config("spark.sql.codegen.wholeStage", "false").config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
