@@ -27,6 +27,8 @@ def whole_records(files: DataFrame) -> DataFrame:
     # Splitting and parsing stay in the JVM: no Python worker sees a record.
     lines = files.select("site_url", F.explode(F.split("body", "\n")).alias("line")).select("site_url", F.trim(F.regexp_replace("line", r"^\s+|\s+$", "")).alias("line"))
     lines = lines.filter(F.col("line").startswith("{") & F.col("line").endswith("}"))
+    # The parser stops after the first value; as an element of an array, what follows it on the line is seen.
+    lines = lines.filter(F.json_array_length(F.concat(F.lit("["), F.col("line"), F.lit("]"))) == 1)
     v = F.try_parse_json("line")
     get = lambda name: F.try_variant_get(v, f"$.{name}", "string")
     rec = lines.select("site_url", get("rec_id").try_cast("bigint").alias("rec_id"), get("_path").alias("path"), get("_type").alias("type"), get("title").alias("title"), get("note").alias("note"))
