@@ -35,7 +35,7 @@ FILLER = re.compile(
 # Standing phrases of error pages, by what they tell.
 ERROR = re.compile(
     r"not found\b|page not found|internal server error|bad gateway|gateway time-?out|service (?:temporarily )?unavailable|bad request|forbidden\b|access denied|unauthori[sz]ed|permission to (?:view|access)"
-    r"|an error (?:has )?occurred|site error|fatal error|server (?:met|encountered)|could not complete your request|database connection|did not answer within|traceback \(most recent|^file \".*line \d|\w+error: "
+    r"|an error (?:has )?occurred|site error|fatal error|server (?:met|encountered)|could not complete your request|database connection|did not answer within|traceback \(most recent|^file \".*line \d|\b\w{0,40}error: "
     r"|allowed memory|bytes exhausted|upstream host|invalid answer|session has expired|log in again|too many requests|rate limit|retry after|timed out|failed to load|cannot be displayed|refused by the server"
     r"|does not exist any ?more|no longer available|has gone\b|could not find|moved or deleted|is not on this server|status \d{3}\b|^\d{3}\b.*(?:error|not found|forbidden|unavailable)|^error \d|something went wrong|down for maintenance|be back shortly"
     r"|please quote \d|check the spelling|try a search|contact the webmaster|back to the start page|^(?:sorry|hmm|oops!?|notice)\.?$"
