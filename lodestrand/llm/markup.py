@@ -3,15 +3,19 @@
 Method: minimum-cut labelling. The blocks (lines) of a text are nodes. For each language a classifier gives every block
 a cost of calling it markup and of calling it plain; these become the capacities to the two terminals. Neighbouring
 blocks, and blocks held together by one element (an opening and its closing tag, a fence, an environment, a table),
-are joined by smoothness edges. The maximum flow separates the blocks of the language from the plain ones.
-A language occurs in a text if a block on its side of the cut bears a construct of the language itself.
+are joined by smoothness edges. The minimum cut separates the blocks of the language from the plain ones.
+A language occurs in a text if a construct of its own stands there, be it a single one: so a block with one is never
+outvoted, and which languages a text holds is decided by the constructs alone. The cut decides which of the other blocks
+are the language's too (signs beside constructs, the inside of elements), and only the language's blocks are cleaned.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections import deque
+from itertools import accumulate, groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,6 +25,8 @@ from lodestrand.session import ship
 
 # The names of elements that count as HTML.
 TAGS = "p|h[1-6]|ul|ol|li|dl|dt|dd|table|thead|tbody|tr|th|td|caption|pre|code|b|i|u|s|em|strong|small|sub|sup|a|span|div|br|img|hr|blockquote|font|center|html|head|body|title|script|style|section|article|nav|header|footer|main|form|input|button|label|iframe|video|audio|source|figure|figcaption"
+# Elements that stand beside those in a page; they do not tell that a text is HTML.
+PAGE_TAGS = "meta|link|base|aside|noscript|address|time|abbr|cite|q|del|ins|kbd|var|samp|mark|big|tt|strike|tfoot|col|colgroup|select|option|textarea|fieldset|legend|details|summary|picture|object|param|embed|map|area"
 # Constructs that only a language's markup has, and signs that become markup beside them. Bare signs of ordinary
 # writing (prices, comparisons, footnote numbers, file names, bullets) are in neither list of any language.
 OWN = {
@@ -42,8 +48,17 @@ HOLD = {
     "wiki": (re.compile(r"^(\{\|)"), re.compile(r"^(\|\})")),
     "latex": (re.compile(r"\\begin\{(\w+)\*?\}"), re.compile(r"\\end\{(\w+)\*?\}")),
 }
-# Terminal capacities and smoothness, in units of one plain block's cost.
-PLAIN, OWN_COST, SIGN_COST, NEAR, HELD = 2, 12, 1, 1, 3
+# Constructs that may go over several lines, which they hold together.
+SPAN = {
+    "html": re.compile(r"<!--.*?-->|<(script|style|pre)\b.*?</\1\s*>|</?[a-z][^<>]*>", re.S | re.I),
+    "markdown": re.compile(r"(?m)^[^\n]*\S[^\n]*\n={3,}[ \t]*$"),
+    "wiki": re.compile(r"<ref\b[^<>]*>.*?</ref>", re.S),
+    "latex": re.compile(r"\\\[.*?\\\]|\\[A-Za-z]+\{[^{}]*\}", re.S),
+}
+QUOTE = re.compile(r"> ")  # in a text of Markdown a quoted line is the language's wherever it stands
+# Terminal capacities and smoothness, in half units of one plain block's cost. A block with signs is undecided by itself;
+# what an element holds is no evidence of plain writing.
+PLAIN, OWN_COST, SIGN_COST, QUOTE_COST, NEAR, HELD = 2, 12, 2, 5, 1, 3
 ORDER = ("html", "markdown", "wiki", "latex")
 
 
@@ -86,6 +101,25 @@ def min_cut(n: int, source: list[int], sink: list[int], edges: dict[tuple[int, i
             v = came[v]
 
 
+def chain_cut(source: list[int], sink: list[int], near: list[int]) -> list[bool]:
+    """The same for nodes in a row, near[i] joining i and i + 1: by dynamic programming, in one pass there and back."""
+    n, back = len(source), []
+    # (cost, nodes on the source's side) of the best labelling so far that ends plain, and that ends on the source's side.
+    plain, inside = (0, 0), (0, 0)
+    for i in range(n):
+        c = near[i - 1] if i else 0
+        to_plain, to_inside = (inside[0] + c, inside[1]) < plain, not (plain[0] + c, plain[1]) < inside
+        p = (inside[0] + c, inside[1]) if to_plain else plain
+        q = inside if to_inside else (plain[0] + c, plain[1])
+        back.append((to_plain, to_inside))
+        plain, inside = (p[0] + source[i], p[1]), (q[0] + sink[i], q[1] + 1)
+    out, side = [False] * n, inside < plain
+    for i in range(n - 1, -1, -1):
+        out[i] = side
+        side = back[i][side]
+    return out
+
+
 def holds(blocks: list[str], language: str) -> list[tuple[int, int]]:
     """Pairs of neighbouring blocks within one element of the language."""
     opening, closing = HOLD[language]
@@ -114,15 +148,30 @@ def holds(blocks: list[str], language: str) -> list[tuple[int, int]]:
     return out
 
 
+def spans(blocks: list[str], language: str) -> list[tuple[int, int]]:
+    """Pairs of neighbouring blocks within one construct that goes over several lines."""
+    if language not in SPAN or len(blocks) < 2:
+        return []
+    starts = list(accumulate((len(b) + 1 for b in blocks), initial=0))
+    out = []
+    for m in SPAN[language].finditer("\n".join(blocks)):
+        if "\n" in m[0]:
+            out += [(j, j + 1) for j in range(bisect_right(starts, m.start()) - 1, bisect_right(starts, m.end() - 1) - 1)]
+    return out
+
+
 def label(blocks: list[str], language: str, own: list[int]) -> list[bool]:
     """Which blocks the cut puts to the language. own: constructs of the language in each block."""
     n = len(blocks)
-    source = [OWN_COST * k + SIGN_COST * min(3, len(SIGNS[language].findall(b))) for k, b in zip(own, blocks, strict=True)]
+    source = [OWN_COST * k + (SIGN_COST if SIGNS[language].search(b) else 0) for k, b in zip(own, blocks, strict=True)]
     sink = [PLAIN if b.strip() else 0 for b in blocks]
-    edges = {(i, i + 1): NEAR for i in range(n - 1)}
-    for e in holds(blocks, language):
-        edges[e] = edges.get(e, 0) + HELD
-    return min_cut(n, source, sink, edges)
+    near = [NEAR] * (n - 1)
+    if language == "markdown":
+        source = [c + QUOTE_COST if QUOTE.match(b) else c for c, b in zip(source, blocks, strict=True)]
+    for i, j in {*holds(blocks, language), *spans(blocks, language)}:
+        near[i] += HELD
+        sink[i] = sink[j] = 0
+    return chain_cut(source, sink, near)
 
 
 def counts(blocks: list[str], text: str, language: str) -> list[int]:
@@ -186,7 +235,7 @@ def _html(t: str) -> str:
     t = re.sub(r"</h[1-6]\s*>", "\n\n", t, flags=re.I)
     t = re.sub(r"<li\b[^<>]*>", "\n- ", t, flags=re.I)
     t = _BLOCK_TAG.sub("\n", t)
-    t = re.sub(rf"</?(?:{TAGS})(?:\s[^<>]*)?/?>", "", t, flags=re.I)
+    t = re.sub(rf"</?(?:{TAGS}|{PAGE_TAGS})(?:\s[^<>]*)?/?>|<!doctype\b[^<>]*>", "", t, flags=re.I)
     t = html.unescape(t).replace("\xa0", " ")
     return re.sub("\x00(\\d+)\x00", lambda m: "\n".join("    " + x for x in code[int(m[1])].split("\n")), t)
 
@@ -269,7 +318,7 @@ CLEAN = {"html": _html, "markdown": _markdown, "wiki": _wiki, "latex": _latex}
 
 
 def clean(text: str | None, found: dict[str, list[bool]] | None = None) -> str | None:
-    """The text without the markup of the languages it holds. Headings become '# ' lines, lists '- ' lines, code is set in
+    """The text without the markup of the languages it holds, of which only the languages' own blocks are changed. Headings become '# ' lines, lists '- ' lines, code is set in
     by four spaces, table cells are parted by tabs, formulas stay as written. Text without markup stays as it is."""
     if not text:
         return text
@@ -279,7 +328,11 @@ def clean(text: str | None, found: dict[str, list[bool]] | None = None) -> str |
     t = text.replace("\r\n", "\n").replace("\r", "\n")
     for language in ("latex", "wiki", "markdown", "html"):
         if language in found:
-            t = CLEAN[language](t)
+            blocks = t.split("\n")
+            # One language cleaned before shifts the blocks, so the next is labelled anew.
+            side = found[language] if len(found) == 1 else label(blocks, language, counts(blocks, t, language))
+            runs = ((ours, "".join(b + "\n" for _, b in run)) for ours, run in groupby(zip(side, blocks, strict=True), key=lambda x: x[0]))
+            t = "".join(CLEAN[language](run) if ours else run for ours, run in runs).removesuffix("\n")
     return re.sub(r"[ \t]+\n", "\n", re.sub(r"\n{3,}", "\n\n", t)).strip("\n")
 
 

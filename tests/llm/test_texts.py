@@ -106,6 +106,23 @@ def test_min_cut_is_minimal(n, rng):
     assert cost(got) == min(cost([bool(k >> i & 1) for i in range(n)]) for k in range(2**n))
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 9), st.randoms(use_true_random=False))
+def test_cut_of_a_chain(n, rng):
+    source, sink, near = ([rng.randint(0, 4) for _ in range(k)] for k in (n, n, n - 1))
+    assert markup.chain_cut(source, sink, near) == markup.min_cut(n, source, sink, {(i, i + 1): c for i, c in enumerate(near)})
+
+
+def test_only_blocks_of_the_language_are_cleaned():
+    plain = ["About 5~6 days in C:\\Section.", "A first plain line.", "A second plain line.", "A third plain line."]
+    assert markup.clean("\n".join([*plain, "\\emph{a}~b"])) == "\n".join([*plain, "a b"])
+    assert markup.clean("* x | y\n\nplain one\nplain two\nplain three\nsee [[A|b]]") == "* x | y\n\nplain one\nplain two\nplain three\nsee b"
+    code = [f"line {i} of code" for i in range(40)]
+    assert markup.clean("\n".join(["```", *code, "```"])) == "\n".join("    " + x for x in code).strip("\n")
+    assert markup.clean("\n".join(["a <b", *["class"] * 9, ">c</b>", "x"])) == "a c\nx"
+    assert list(markup.labels("\n".join([*plain, "one <br> sign", *plain]))) == ["html"]  # one construct is markup
+
+
 def test_markup_table(spark):
     df = spark.createDataFrame([(1, "<b>x</b> '''y'''", "a"), (1, "<b>x</b>", "a"), (2, None, "a"), (3, "plain", "a")], "doc_id bigint, text string, markup string")
     assert rows(markup.markup_languages(df)) == [(1, "html"), (1, "html"), (1, "wiki")]
