@@ -32,6 +32,10 @@ def p5_clean(spark, d):
     return markup.clean_texts(table(spark, d, "documents"))
 
 
+def p5_clean_html(spark, d):
+    return markup.clean_texts(table(spark, d, "items"), doc="item_id", text="html_raw").withColumnRenamed("doc_id", "item_id")
+
+
 def p6_found(spark, d):
     return spam.spam_pages(table(spark, d, "items"))
 
@@ -65,7 +69,7 @@ def p10_rates(spark, d):
     return cut.cut_rates(table(spark, d, "documents"))
 
 
-NAMES = ("p1_found", "p3_found", "p4_found", "p4_groups", "p5_found", "p5_clean", "p6_found", "p7_found", "p7_near", "p8_ids", "p9_copies", "p9_shares", "p10_found", "p10_rates")
+NAMES = ("p1_found", "p3_found", "p4_found", "p4_groups", "p5_found", "p5_clean", "p5_clean_html", "p6_found", "p7_found", "p7_near", "p8_ids", "p9_copies", "p9_shares", "p10_found", "p10_rates")
 
 
 def queries():

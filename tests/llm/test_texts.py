@@ -123,6 +123,13 @@ def test_only_blocks_of_the_language_are_cleaned():
     assert list(markup.labels("\n".join([*plain, "one <br> sign", *plain]))) == ["html"]  # one construct is markup
 
 
+def test_html_of_items_is_cleaned(spark, tmp_path):
+    from lodestrand.llm import queries
+
+    spark.createDataFrame([(1, "<!DOCTYPE html>\n<meta charset=x><h1>A</h1><P>b", "x"), (2, None, "x"), (3, "plain", None)], "item_id bigint, html_raw string, content_text string").write.parquet(str(tmp_path / "items.parquet"))
+    assert rows(queries.queries()["p5_clean_html"](spark, str(tmp_path)), "item_id", "markup", "text") == [(1, "html", "# A\n\nb"), (2, "", None), (3, "", "plain")]
+
+
 def test_markup_table(spark):
     df = spark.createDataFrame([(1, "<b>x</b> '''y'''", "a"), (1, "<b>x</b>", "a"), (2, None, "a"), (3, "plain", "a")], "doc_id bigint, text string, markup string")
     assert rows(markup.markup_languages(df)) == [(1, "html"), (1, "html"), (1, "wiki")]
