@@ -92,11 +92,11 @@ def backlink_rows(links: DataFrame) -> DataFrame:
     return ranked(named, ["dst", "seq", "pos", "url", "name"], "place", within="dst").select("dst", "place", "url", "name")
 
 
-def backlinks(links: DataFrame, most: int) -> DataFrame:
-    """(dst, n, backlinks): the number of a target's backlinks and the first `most` of them as an array."""
+def backlinks(links: DataFrame, most: int | None = None) -> DataFrame:
+    """(dst, n, backlinks): the number of a target's backlinks and these, or the first `most` of them, as an array."""
     rows = backlink_rows(links)
     item = F.struct("place", F.struct("url", "name").alias("b"))
-    per = rows.groupBy("dst").agg(F.count("*").alias("n"), F.collect_list(F.when(F.col("place") < most, item)).alias("l"))
+    per = rows.groupBy("dst").agg(F.count("*").alias("n"), F.collect_list(item if most is None else F.when(F.col("place") < most, item)).alias("l"))
     return per.select("dst", "n", F.transform(F.array_sort("l"), lambda x: x["b"]).alias("backlinks"))
 
 
@@ -110,14 +110,14 @@ def redirects(fetches: DataFrame) -> DataFrame:
 
 
 def crawl_items(
-    config: CrawlConfig, fetches: DataFrame, links: DataFrame, pages: DataFrame, *, order: DataFrame | None = None, backlinks_kept: int = 1000
+    config: CrawlConfig, fetches: DataFrame, links: DataFrame, pages: DataFrame, *, order: DataFrame | None = None, backlinks_kept: int | None = None
 ) -> DataFrame:
     """The items of one crawl, from what was fetched: bad, redirect and content rows.
 
     fetches: one row for each url (see sources.store.latest); pages: (url, content_text, html_raw) of parsed pages by
     requested URL. Every URL reached from the seeds gives a bad row, or a content row, and a redirect row before it where
     it was redirected. A redirect that leaves the site is bad. Backlinks are those of the whole crawl, not of the moment;
-    at most `backlinks_kept` of them become the array. The root's and the seeds' sort order is 0.
+    all of them become the array, or the first `backlinks_kept`. The root's and the seeds' sort order is 0.
     """
     spark = fetches.sparkSession
     links = with_root(links, config)

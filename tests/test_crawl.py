@@ -130,6 +130,12 @@ def test_mini_site(spark, fetches):
     assert {r["bad_url"] for r in pipeline.run(ctx, [("webcrawler", {"site_url": SITE, "maxsize": "20"})]).collect()} == {SITE}
 
 
+def test_an_item_has_all_its_backlinks(spark):
+    pages_ = [fetch(SITE, html="<a href=/file1.htm>x</a>" * 1100), fetch(SITE + "file1.htm", html="<p>text")]
+    items = pipeline.run(pipeline.Context(spark, {"fetches": spark.createDataFrame(pages_, FETCH)}), [("webcrawler", {"site_url": SITE})])
+    assert {r["path"]: len(r["backlinks"]) for r in items.collect()} == {"": 0, "file1.htm": 1100}
+
+
 def test_pipeline_text(spark, fetches):
     text = f"[pipeline]\npipeline =\n    crawl\n    drop\n    type\n[crawl]\nblueprint = any.webcrawler\nsite_url = {SITE}\nignore = sub2\n[drop]\nblueprint = condition\ncondition = bad_url IS NULL\n[type]\nblueprint = x.typerecognitor\n"
     ctx = pipeline.Context(spark, {"fetches": fetches})
