@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestrand.config import CrawlConfig
 from lodestrand.functions.urls import header, in_site, site_path
-from lodestrand.operators.filters import can_emit, verdict, within_size
+from lodestrand.operators.filters import can_emit, robots_verdict, verdict, within_size
 from lodestrand.operators.ranking import ranked
 from lodestrand.session import materialise
 
@@ -24,12 +24,13 @@ def with_root(links: DataFrame, config: CrawlConfig) -> DataFrame:
     return links.withColumn("dst", F.when(F.col("dst") == config.site_url.rstrip("/"), config.site_url).otherwise(F.col("dst")))
 
 
-def traverse(start: DataFrame, edges: DataFrame, *, reject: Column | None = None, max_pages: int | None = None, max_depth: int | None = None, order: bool = True) -> DataFrame:
+def traverse(start: DataFrame, edges: DataFrame, *, reject: Column | None = None, rules: DataFrame | None = None, max_pages: int | None = None, max_depth: int | None = None, order: bool = True) -> DataFrame:
     """(url, depth, place, reason): every URL that the start reaches, once.
 
     start: (url, seq); edges: (src, pos, dst). place is the order in which one queue would take the URLs: by round, then
     by the place of the page that first links there and the link's position. Rejected URLs (`reject` is an expression on
-    `url`, its text becomes `reason`) count as taken but are not followed. max_pages stops after so many URLs.
+    `url`, its text becomes `reason`) count as taken but are not followed; nor are those that the robots rules (origin,
+    prefix, allow) forbid, of which the reason is 'robots'. max_pages stops after so many URLs.
     order=False leaves place NULL and saves the sort of each round; max_pages needs order.
 
     Each round joins the frontier to the edges and takes out what is done; its result is written to the shared folder,
@@ -48,7 +49,10 @@ def traverse(start: DataFrame, edges: DataFrame, *, reject: Column | None = None
             placed = placed.withColumn("place", F.col("place") + count)
         if max_pages is not None:
             placed = placed.filter(F.col("place") < max_pages)
-        level = materialise(placed.select("url", F.lit(depth).alias("depth"), "place", why.alias("reason")), "crawl-level")
+        reason = why
+        if rules is not None:
+            placed, reason = robots_verdict(placed, rules), F.coalesce(why, F.when(~F.col("allowed"), "robots"))
+        level = materialise(placed.select("url", F.lit(depth).alias("depth"), "place", reason.alias("reason")), "crawl-level")
         size = level.count()
         if not size:
             break
@@ -110,18 +114,19 @@ def redirects(fetches: DataFrame) -> DataFrame:
 
 
 def crawl_items(
-    config: CrawlConfig, fetches: DataFrame, links: DataFrame, pages: DataFrame, *, order: DataFrame | None = None, backlinks_kept: int | None = None
+    config: CrawlConfig, fetches: DataFrame, links: DataFrame, pages: DataFrame, *, order: DataFrame | None = None, backlinks_kept: int | None = None, rules: DataFrame | None = None
 ) -> DataFrame:
     """The items of one crawl, from what was fetched: bad, redirect and content rows.
 
     fetches: one row for each url (see sources.store.latest); pages: (url, content_text, html_raw) of parsed pages by
     requested URL. Every URL reached from the seeds gives a bad row, or a content row, and a redirect row before it where
     it was redirected. A redirect that leaves the site is bad. Backlinks are those of the whole crawl, not of the moment;
-    all of them become the array, or the first `backlinks_kept`. The root's and the seeds' sort order is 0.
+    all of them become the array, or the first `backlinks_kept`. URLs that robots `rules` forbid are bad. The root's and
+    the seeds' sort order is 0.
     """
     spark = fetches.sparkSession
     links = with_root(links, config)
-    reached = traverse(seeds(spark, config), links, reject=verdict(F.col("url"), config), max_pages=config.max)
+    reached = traverse(seeds(spark, config), links, reject=verdict(F.col("url"), config), rules=rules, max_pages=config.max)
     first = order if order is not None else sort_order(links)
     got = reached.join(fetches, "url", "left").join(pages, "url", "left")
     final = F.coalesce("final_url", F.col("url"))

@@ -39,7 +39,8 @@ def section(name: str) -> Callable[[Section], Section]:
 @section("webcrawler")
 def _crawl(ctx: Context, options: Mapping[str, str], previous: DataFrame | None) -> DataFrame | None:
     """Upstream rows, then those of the crawl. Without a site only the upstream. Responses come from the table `fetches`,
-    or from the tree of files in the option `cache`."""
+    or from the tree of files in the option `cache`. Rules of robots files come from the table `robots` (origin, prefix,
+    allow), unless `ignore_robots`; without that table everything is allowed."""
     if not (options.get("site_url") or options.get("url")):
         return previous
     config = CrawlConfig.of(options)
@@ -63,10 +64,11 @@ def _crawl(ctx: Context, options: Mapping[str, str], previous: DataFrame | None)
     asked = fetches.select(F.coalesce("final_url", "url").alias("src"), F.col("url").alias("asked"))
     edges = crawl.with_root(links.join(asked, "src").withColumn("src", F.col("asked")).drop("asked"), config)
     clean = pages.clean_pages(patched.select("url", "html")).join(patched.select("url", "html_raw"), "url")
-    reached = crawl.traverse(crawl.seeds(ctx.spark, config), edges, reject=filters.verdict(F.col("url"), config), max_pages=config.max)
+    rules = None if config.ignore_robots else ctx.tables.get("robots")
+    reached = crawl.traverse(crawl.seeds(ctx.spark, config), edges, reject=filters.verdict(F.col("url"), config), rules=rules, max_pages=config.max)
     ordered = edges.join(reached.select(F.col("url").alias("src"), "place"), "src").withColumn("seq", F.col("place")).drop("place")
     body = fetches.withColumn("body", F.when(~html, F.col("body")))
-    items = crawl.crawl_items(config, body, ordered, clean).drop("place", "turn")
+    items = crawl.crawl_items(config, body, ordered, clean, rules=rules).drop("place", "turn")
     return items if previous is None else crawl.union_upstream(previous, items)
 
 

@@ -136,6 +136,16 @@ def test_an_item_has_all_its_backlinks(spark):
     assert {r["path"]: len(r["backlinks"]) for r in items.collect()} == {"": 0, "file1.htm": 1100}
 
 
+def test_robots_in_the_pipeline(spark, fetches):
+    rules = spark.createDataFrame([("http://SITE.test", "/sub", False), ("http://site.test", "/sub2/", True), ("http://site.test", "/sub2/moved", False), ("http://other.test", "/", False)], "origin string, prefix string, allow boolean")
+    ctx = pipeline.Context(spark, {"fetches": fetches, "robots": rules})
+    got = pipeline.run(ctx, [("webcrawler", {"site_url": SITE})]).collect()
+    assert {r["bad_url"] for r in got if r["bad_url"]} == {SITE + "sub/one.htm", SITE + "sub2/moved", "http://elsewhere.test/x"}
+    assert {r["path"] for r in got if r["path"] is not None} == {"", "file1.htm", "file2.htm", "sub2/one.htm", "p.gif"}
+    free = pipeline.run(ctx, [("webcrawler", {"site_url": SITE, "ignore-robots": "true"})]).collect()
+    assert {r["bad_url"] for r in free if r["bad_url"]} == {"http://elsewhere.test/x"} and "doc.doc" in {r["path"] for r in free}
+
+
 def test_pipeline_text(spark, fetches):
     text = f"[pipeline]\npipeline =\n    crawl\n    drop\n    type\n[crawl]\nblueprint = any.webcrawler\nsite_url = {SITE}\nignore = sub2\n[drop]\nblueprint = condition\ncondition = bad_url IS NULL\n[type]\nblueprint = x.typerecognitor\n"
     ctx = pipeline.Context(spark, {"fetches": fetches})
