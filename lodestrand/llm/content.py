@@ -2,7 +2,8 @@
 
 Method: tag-path ratios. Text length and punctuation are aggregated for each root-to-leaf tag path over all pages of a
 site; the two ratios are fused, smoothed along the page, and thresholded to select content nodes. Lines that the site
-repeats on many pages carry no weight of their own, and short lines with the standing words of bylines, adverts or
+repeats on many pages carry no weight of their own (pages that are equal count as one page there, so that copies of a
+page do not make its content furniture), and short lines with the standing words of bylines, adverts or
 share prompts are left out.
 
 Two passes over the pages: the first yields the site's statistics (aggregated before they are shuffled), the second
@@ -73,7 +74,8 @@ def line_key(x: Line, norm: str) -> int:
 
 
 def _count(batches):
-    """The first pass: statistics of a batch's pages, summed within the batch."""
+    """The first pass: statistics of a batch's different pages (site, content_text, rows), summed within the batch. The
+    length of a site's entry PAGES is its number of rows."""
     for batch in batches:
         acc: dict[tuple[str, int, int], list[int]] = {}
 
@@ -85,8 +87,8 @@ def _count(batches):
                 a[1] += length
                 a[2] += punct
 
-        for site, content in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            add((site, PAGES, 0), 0, 0)
+        for site, content, rows in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            add((site, PAGES, 0), rows, 0)
             seen = set()
             for x in read_page(content, site):
                 k = line_key(x, normal(x.text))
@@ -177,14 +179,17 @@ def own_content(lines: list[Line], notes: Notes) -> list[bool]:
 def site_notes(pages: DataFrame) -> tuple[DataFrame, dict[str, int]]:
     """(site, pages, entries) for each site (see the module's docstring), and over how many tasks each hot site is to be
     spread. pages: (item_id, site, content_text). Hot sites are those with HOT_SHARE of all pages, so few at any size."""
-    sums = pages.mapInArrow(_count, STATS).groupBy("site", "kind", "key").agg(F.sum("n").alias("n"), F.sum("len").alias("len"), F.sum("punct").alias("punct"))
+    # One vote for pages that are equal as lines are: but for case and digits.
+    alike = F.md5(F.regexp_replace(F.lower("content_text"), r"\d+", "0"))
+    votes = pages.groupBy("site", alike.alias("page")).agg(F.min("content_text").alias("content_text"), F.count("*").alias("rows")).select("site", "content_text", "rows")
+    sums = votes.mapInArrow(_count, STATS).groupBy("site", "kind", "key").agg(F.sum("n").alias("n"), F.sum("len").alias("len"), F.sum("punct").alias("punct"))
     # Read more than once below: written, so that the pages are counted once. Most lines stand on one page and are gone by now.
     sums = materialise(sums.filter((F.col("kind") == PAGES) | (F.col("n") >= LINE_PAGES)), "site-sums")
-    totals = sums.filter(F.col("kind") == PAGES).select("site", F.col("n").alias("pages"))
-    every = totals.agg(F.coalesce(F.sum("pages"), F.lit(0)).alias("s")).first()["s"]
+    totals = sums.filter(F.col("kind") == PAGES).select("site", F.col("n").alias("pages"), F.col("len").alias("rows"))
+    every = totals.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("s")).first()["s"]
     tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = totals.filter((F.col("pages") >= HOT_SHARE * every) & (F.col("pages") >= HOT_PAGES)).collect()  # at most 1 / HOT_SHARE rows
-    spread = {r["site"]: min(tasks, -(-2 * tasks * r["pages"] // every)) for r in hot}
+    hot = totals.filter((F.col("rows") >= HOT_SHARE * every) & (F.col("rows") >= HOT_PAGES)).collect()  # at most 1 / HOT_SHARE rows
+    spread = {r["site"]: min(tasks, -(-2 * tasks * r["rows"] // every)) for r in hot}
     rest = sums.filter(F.col("kind") != PAGES)
     floor = F.when(F.col("kind") == LINE, LINE_SHARE).otherwise(PATH_SHARE)
     kept = rest.join(totals, "site").filter(F.col("n") >= floor * F.col("pages"))

@@ -75,6 +75,21 @@ def test_residue(items):
     assert rows(residue.residue_rows(items)) == [(100, "error"), (101, "placeholder"), (102, "scripts"), (103, "filler")]
 
 
+def test_copies_of_a_page_are_no_furniture(spark):
+    """A group of copies of most rows of a site: of a page, of an error page and of a page of keywords."""
+    error = page(1, ["<h1>Not Found</h1>", "<p>We could not find the page you were looking for.</p>"])
+    stuffed = page(2, ["<h1>Cheap Mill</h1>"] + ["<p>" + " * ".join(f"cheap mill {w} buy" for w in WORDS) * 2 + "</p>"] * 3)
+    sites = {"http://c.test": page(7, prose(7)), "http://d.test": error, "http://e.test": stuffed}
+    data = [(1000 * k + i, s, page(i, prose(i)) if i < 10 else copied) for k, (s, copied) in enumerate(sites.items()) for i in range(40)]
+    df = spark.createDataFrame(data, "item_id bigint, site_url string, content_text string")
+    got = {}
+    for i, n in rows(content.content_lines(df)):
+        got.setdefault(i, []).append(n)
+    assert all(len(got[i]) == 5 for i in range(40))
+    assert [i for i, _ in rows(residue.residue_rows(df))] == list(range(1010, 1040))
+    assert [i for i, in rows(spam.spam_pages(df))] == list(range(2010, 2040))
+
+
 @pytest.mark.parametrize(("parts", "want"), [
     ([("h1", "Seite nicht gefunden"), ("p", "Die gewünschte Seite ist leider nicht vorhanden.")], "error"), ([("p", "Veuillez activer les scripts pour afficher la page.")], "scripts"),
     ([("p", "<%= x %>")], "placeholder"), ([("p", "test test aaa bla qwer foo test")], "filler"), ([("pre", "${x}")], None), ([], None), ([("p", "")], None),
