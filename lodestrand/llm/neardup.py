@@ -4,8 +4,9 @@ Method: chosen-path join. Every text is the set of its word shingles, embedded a
 splits the sets: a node of the tree chooses two tokens' places by a hash of its path, and each set goes on to the two
 children named by its tokens there, so sets meet in a leaf if they share all tokens chosen on the way. A leaf of at most
 `limit` sets is brute-forced; larger ones are split further; leaves that the deepest level still leaves large hold sets
-that agree almost wholly and are compared as they are. The tree is grown `repeats` times from other roots: a pair at the
-threshold survives one tree with probability above 0.55 at 0.6 (more above it), hence all seven with less than 0.4 % missed.
+that agree almost wholly and are compared as they are. The tree is grown from as many other roots as `repeats_for` a
+pair at the threshold need to share a node of the deepest level with probability RECALL. All trees share one embedding,
+so the estimate averages over how many of its tokens such a pair has in common. Pairs above it are found more often.
 Candidates pass one-bit sketches, then the embedded sets, and last an exact check of the sets themselves.
 
 Equal sets are one class throughout: only its least id is in the tree; pairs of copies are made at the end.
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import re
 from html import unescape
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,8 @@ from lodestrand.session import materialise, ship
 TAG = re.compile(r"<!--.*?-->|</?[A-Za-z!][^<>]*>", re.S)
 WORD = re.compile(r"[^\W_]+")
 TOKENS = 128
-REPEATS, FIRST_DEPTH, STEP, MAX_DEPTH, LIMIT = 7, 3, 2, 13, 16
+RECALL, FIRST_DEPTH, STEP, MAX_DEPTH, LIMIT = 0.998, 3, 2, 13, 16
+MOST_REPEATS = 64  # for thresholds so low that no number of trees would reach the target
 MEMO = 500_000
 _rng = np.random.default_rng(20240607)
 MULT = _rng.integers(1, 2**63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -45,6 +48,27 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+def recall(threshold: float, repeats: int, depth: int = MAX_DEPTH) -> float:
+    """The probability that two sets of just this similarity share a node `depth` levels down in one of the trees."""
+    miss = 0.0
+    for same in range(TOKENS + 1):
+        none = (TOKENS - same) * (TOKENS - same - 1) / (TOKENS * (TOKENS - 1))
+        both = same * (same - 1) / (TOKENS * (TOKENS - 1))
+        lost = 0.0  # from one node on: none of its two tokens agrees, or all that follows is lost
+        for _ in range(depth):
+            lost = none + (1 - none - both) * lost + both * lost * lost
+        miss += comb(TOKENS, same) * threshold**same * (1 - threshold) ** (TOKENS - same) * lost**repeats
+    return 1 - miss
+
+
+def repeats_for(threshold: float, target: float = RECALL) -> int:
+    """The fewest trees that reach the target recall at the threshold."""
+    repeats = 1
+    while recall(threshold, repeats) < target and repeats < MOST_REPEATS:
+        repeats += 1
+    return repeats
+
+
 class Shingles:
     """Hashes of the word shingles of a text, sorted and distinct."""
 
@@ -259,9 +283,9 @@ class Join:
 
 
 def join_texts(
-    items: DataFrame, *, threshold: float = 0.6, shingle: int = 3, min_words: int = 200, repeats: int = REPEATS, limit: int = LIMIT, item: str = "item_id", text: str = "content_text"
+    items: DataFrame, *, threshold: float = 0.6, shingle: int = 3, min_words: int = 200, repeats: int | None = None, limit: int = LIMIT, item: str = "item_id", text: str = "content_text"
 ) -> Join:
     """The join over a table with unique ids. NULL ids or texts take no part; other columns are ignored; an empty table
-    gives empty results. Words are runs of letters and digits of the lower-cased text without tags, references resolved."""
+    gives empty results. Words are runs of letters and digits of the lower-cased text without tags, references resolved. repeats: the number of trees, by default what RECALL needs."""
     docs = items.select(F.col(item).cast("bigint").alias("doc"), F.col(text).cast("string").alias("text")).filter("doc IS NOT NULL")
-    return Join(docs, threshold=threshold, shingle=shingle, min_words=min_words, repeats=repeats, limit=limit)
+    return Join(docs, threshold=threshold, shingle=shingle, min_words=min_words, repeats=repeats or repeats_for(threshold), limit=limit)

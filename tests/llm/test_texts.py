@@ -64,6 +64,20 @@ def test_join_of_nothing(spark):
     assert neardup.join_texts(df.limit(0)).pairs().count() == 0
 
 
+def test_trees_reach_the_target_recall():
+    """The estimate against pairs at the threshold, and the number of trees that comes of it."""
+    rng = np.random.default_rng(2)
+    a = rng.integers(0, 2**32, (400, neardup.TOKENS), dtype=np.uint32)
+    b = np.where(rng.random(a.shape) < 0.6, a, rng.integers(0, 2**32, a.shape, dtype=np.uint32))
+    repeats = neardup.repeats_for(0.6)
+    assert neardup.recall(0.6, repeats) >= neardup.RECALL > neardup.recall(0.6, repeats - 1) and neardup.recall(0.6, 7) < 0.99
+    roots = np.tile(neardup.mix(np.arange(1, repeats + 1, dtype=np.uint64)), 400)
+    row = np.repeat(np.arange(400), repeats)
+    (ra, na), (rb, nb) = (neardup.children(x, row, roots, 7) for x in (a, b))
+    met = sum(bool(np.intersect1d(na[ra == i], nb[rb == i]).size) for i in range(400))
+    assert abs(met / 400 - neardup.recall(0.6, repeats, 7)) < 0.02
+
+
 def test_embedding_estimates_similarity():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 2**63, 900, dtype=np.uint64)
