@@ -256,6 +256,14 @@ def test_cut_texts(spark):
     assert cut.cut_documents(df.limit(0)).count() == 0
 
 
+def test_copies_of_a_cut_text_do_not_vouch_for_each_other(spark):
+    docs, _ = corpus()
+    copies = [(500 + i, docs[2][1] + " The committee painted a" + " " * (i % 2), "t") for i in range(100)]
+    df = spark.createDataFrame(docs + copies + [(700, docs[3][1] + " The committee painted a", "t")], "doc_id bigint, text string, source string")
+    assert rows(cut.cut_documents(df)) == [(i,) for i in [*range(500, 600), 700]]
+    assert {r["source"]: r["rate"] for r in cut.cut_rates(df).collect()} == {"s": 0.0, "t": 1.0}
+
+
 def test_cut_texts_against_sql(spark):
     import duckdb
 
