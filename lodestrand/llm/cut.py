@@ -30,6 +30,7 @@ WHOLE = """'.', '!', '?', '。', '”', '"', '»', ')', ']', '}', '>'"""
 # A trigram tells if it is inside so often; it is almost never at an end if so many times rarer there.
 FEW, RARER, STRONG, STRONGER = 3, 50, 100, 100
 COARSE, COARSE_RARER = 20, 100
+WORD_BITS = 19  # the bitmap of final keys has 2 ** 19 words of 64 bits: 4 MB
 
 
 def _flag(i3: str, t3: str, i4: str, t4: str) -> str:
@@ -58,32 +59,59 @@ def _tokens(texts: str) -> str:
 
 
 def _texts(documents: str) -> str:
-    """(doc_id, t): texts without white space at their end, a line end as one sign."""
-    return f"SELECT doc_id, regexp_replace(t, '{_escaped(chr(91) + chr(92) + "r" + chr(92) + "n]" + chr(92) + "s*")}', '\\n') AS t FROM (SELECT doc_id, rtrim(' \\t\\n\\r\\f\\u00a0\\ufeff', text) AS t FROM {documents} WHERE text IS NOT NULL) WHERE t <> ''"
+    """(doc_id, t): texts without white space at their end, a line end as one sign. Texts whose line ends are so already skip the pattern."""
+    odd = " OR ".join(f"contains(t, '{x}')" for x in (r"\r", r"\n\n", r"\n ", r"\n\t", r"\n\u000b", r"\n\f"))
+    ends = f"CASE WHEN {odd} THEN regexp_replace(t, '{_escaped(chr(91) + chr(92) + 'r' + chr(92) + 'n]' + chr(92) + 's*')}', '\\n') ELSE t END"
+    return f"SELECT doc_id, {ends} AS t FROM (SELECT doc_id, rtrim(' \\t\\n\\r\\f\\u00a0\\ufeff', text) AS t FROM {documents} WHERE text IS NOT NULL) WHERE t <> ''"
 
 
-def _counts_sql(documents: str) -> str:
-    """(kind, k, d, inside, ends): how often token d follows the grams k inside a line and at its end."""
-    tokens = _tokens(_texts(documents))
-    shifted = ", ".join(f"slice(w, {i}, size(w) - 4)" for i in range(1, 6))
-    return f"""
-WITH grams AS (SELECT inline(arrays_zip({shifted})) AS (a, b, c, d, e) FROM ({tokens}) WHERE size(w) >= 6),
-keyed AS (
-    SELECT inline(array(
-        named_struct('kind', 3, 'k', xxhash64(b, c), 'd', d, 'inside', e <> '\\n'),
-        named_struct('kind', 4, 'k', xxhash64({_coarse('a')}, {_coarse('b')}, {_coarse('c')}), 'd', {_coarse('d')}, 'inside', e <> '\\n')))
-    FROM grams WHERE d <> '\\n'
-)
-SELECT kind, k, d, count_if(inside) AS inside, count_if(NOT inside) AS ends FROM keyed GROUP BY kind, k, d"""
+def _prepared_sql(texts: str) -> str:
+    """(doc_id, marked, open, w, c): each text cut into tokens once, with the coarse form of each token. marked: the text
+    ends in a mark of the cut or in a tag; open: it does not end as whole texts do."""
+    marked = f"right(t, {MARK_CHARS}) RLIKE '{_escaped(MARK)}' OR (instr(t, '<') > 0 AND substring_index(t, '<', -1) RLIKE '{IN_TAG}')"
+    tokens = _tokens(f"SELECT *, {marked} AS marked FROM {texts}").replace("SELECT doc_id, t,", f"SELECT doc_id, marked, marked OR right(t, 1) NOT IN ({WHOLE}) AS open,", 1)
+    return f"SELECT *, transform(w, x -> {_coarse('x')}) AS c FROM ({tokens})"
 
 
-def _finals_sql(documents: str) -> str:
-    """The last gram of each text that does not end as whole texts do; marked: it ends in a mark of the cut or in a tag."""
-    marked = f"right(t, {MARK_CHARS}) RLIKE '{_escaped(MARK)}' OR (instr(t, '<') > 0 AND substring_index(t, '<', -1) RLIKE '{IN_TAG}')"
-    texts = f"SELECT * FROM (SELECT *, {marked} AS marked FROM ({_texts(documents)})) WHERE marked OR right(t, 1) NOT IN ({WHOLE})"
-    tokens = _tokens(texts).replace("SELECT doc_id, t,", "SELECT doc_id, marked,", 1)
-    last = f"SELECT doc_id, marked, element_at(w, -5) AS a, element_at(w, -4) AS b, element_at(w, -3) AS c, element_at(w, -2) AS d FROM ({tokens}) WHERE size(w) >= 6"
-    return f"SELECT doc_id, marked, xxhash64(b, c) AS k3, xxhash64({_coarse('a')}, {_coarse('b')}, {_coarse('c')}) AS k4, d, {_coarse('d')} AS d4, octet_length(d) > 4 OR upper(d) <> d AS word FROM ({last})"
+def _finals_sql(prepared: str) -> str:
+    """The last grams of each text that is open: k3 and k4 are the tokens before the last one, d and d4 the last."""
+    at = lambda name, i: f"element_at({name}, {i})"
+    k3, k4 = f"xxhash64({at('w', -4)}, {at('w', -3)})", f"xxhash64({at('c', -5)}, {at('c', -4)}, {at('c', -3)})"
+    last = f"SELECT doc_id, marked, {k3} AS k3, {k4} AS k4, {at('w', -2)} AS d, {at('c', -2)} AS d4 FROM {prepared} WHERE open AND size(w) >= 6"
+    return f"SELECT *, octet_length(d) > 4 OR upper(d) <> d AS word FROM ({last})"
+
+
+def _bits_sql(finals: str, k: str) -> str:
+    """A bitmap of the keys k, 64 to a row: at most 2 ** WORD_BITS rows at any size of the corpus."""
+    return f"SELECT {_word(k)} AS word, bit_or(shiftleft(1L, {_bit(k)})) AS mask FROM {finals} WHERE NOT marked GROUP BY 1"
+
+
+def _word(k: str) -> str:
+    return f"shiftrightunsigned({k}, {64 - WORD_BITS})"
+
+
+def _bit(k: str) -> str:
+    return f"cast(shiftrightunsigned({k}, {58 - WORD_BITS}) & 63 AS int)"
+
+
+def _counts_sql(prepared: str, finals: str) -> str:
+    """(kind, k, d, inside, ends): how often token d follows the grams k inside a line and at its end, over all texts.
+
+    Asked for are only the grams of final keys. A bitmap of these keys screens the tokens where they stand, before two
+    rows are made of one; what passes it by chance is counted too and joins nothing later, so it costs no row.
+    """
+    at = lambda name, i: f"get({name}, i + {i})"
+    grams = f"""SELECT xxhash64({at('w', 1)}, {at('w', 2)}) AS k3, xxhash64({at('c', 0)}, {at('c', 1)}, {at('c', 2)}) AS k4, {at('w', 3)} AS d, {at('c', 3)} AS d4, {at('w', 4)} <> '\n' AS inside
+        FROM (SELECT w, c, explode(sequence(0, size(w) - 5)) AS i FROM {prepared} WHERE size(w) >= 6) WHERE {at('w', 3)} <> '\n'"""
+    hit = lambda t, k: f"coalesce(getbit({t}.mask, {_bit('g.' + k)}) = 1, false)"
+    return f"""
+WITH hits AS (
+    SELECT /*+ BROADCAST(x, y) */ g.*, {hit('x', 'k3')} AS hit3, {hit('y', 'k4')} AS hit4 FROM ({grams}) g
+    LEFT JOIN ({_bits_sql(finals, 'k3')}) x ON x.word = {_word('g.k3')} LEFT JOIN ({_bits_sql(finals, 'k4')}) y ON y.word = {_word('g.k4')}
+), keyed AS (
+    SELECT inside, inline(array(named_struct('hit', hit3, 'kind', 3, 'k', k3, 'd', d), named_struct('hit', hit4, 'kind', 4, 'k', k4, 'd', d4))) FROM hits WHERE hit3 OR hit4
+)
+SELECT kind, k, d, count_if(inside) AS inside, count_if(NOT inside) AS ends FROM keyed WHERE hit GROUP BY kind, k, d"""
 
 
 def _found_sql(finals: str, counts: str) -> str:
@@ -113,13 +141,12 @@ def cut_documents(documents: DataFrame, *, doc: str = "doc_id", text: str = "tex
     documents.select(F.col(doc).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).createOrReplaceTempView("lodestrand_cut_rows")
     # Equal but for white space at the end and the kind of line ends; the digest stands for the id of a text.
     rows = spark.sql(_texts("lodestrand_cut_rows")).select("doc_id", F.unhex(F.md5("t")).alias("text_id"), "t")
-    texts = rows.groupBy("text_id").agg(F.min("t").alias("text")).withColumnRenamed("text_id", "doc_id")
-    materialise(texts, "p10-texts").createOrReplaceTempView(view)
-    # Both are read more than once below: written, so that the texts are cut into tokens once.
+    texts = rows.groupBy("text_id").agg(F.min("t").alias("t")).withColumnRenamed("text_id", "doc_id")
+    texts.createOrReplaceTempView("lodestrand_cut_texts")
+    # All three are read more than once: written, so that each text is cut into tokens once.
+    materialise(spark.sql(_prepared_sql("lodestrand_cut_texts")), "p10-tokens").createOrReplaceTempView(view)
     materialise(spark.sql(_finals_sql(view)), "p10-finals").createOrReplaceTempView("lodestrand_cut_finals")
-    keys = "SELECT k3 AS k, 3 AS kind FROM lodestrand_cut_finals WHERE NOT marked UNION SELECT k4, 4 FROM lodestrand_cut_finals WHERE NOT marked"
-    counts = f"SELECT c.* FROM ({_counts_sql(view)}) c LEFT SEMI JOIN ({keys}) f ON f.kind = c.kind AND f.k = c.k"
-    materialise(spark.sql(counts), "p10-counts").createOrReplaceTempView("lodestrand_cut_counts")
+    materialise(spark.sql(_counts_sql(view, "lodestrand_cut_finals")), "p10-counts").createOrReplaceTempView("lodestrand_cut_counts")
     found = spark.sql(_found_sql("lodestrand_cut_finals", "lodestrand_cut_counts")).select(F.col("doc_id").alias("text_id"))
     return rows.select("doc_id", "text_id").join(found, "text_id", "left_semi").select("doc_id")
 
