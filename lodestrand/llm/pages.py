@@ -20,6 +20,8 @@ ANCHOR = re.compile(r"<a\b([^<>]*)>(.*?)</a\s*>", re.I | re.S)
 ATTR = re.compile(r"""\b(?:id|class|role)\s*=\s*["']?([^"'>]*)""", re.I)
 HREF = re.compile(r"""\bhref\s*=\s*["']?([^"'\s>]*)""", re.I)
 PUNCT = re.compile(r"[.,;!?。、]")
+TITLES = frozenset(("h1", "h2", "h3", "h4", "h5", "h6", "dt"))  # elements whose end closes a phrase as a sign does
+CELL = re.compile(r"<t[dh]\b", re.I)
 
 
 def site_key(url: str | None) -> str:
@@ -61,10 +63,10 @@ def text_lines(content: str | None) -> list[tuple[int, str]]:
 class Line:
     """A text line with what its place in the tag tree says."""
 
-    __slots__ = ("no", "text", "tag", "link", "away", "box", "boxes", "leaf", "spot")
+    __slots__ = ("no", "text", "tag", "link", "away", "box", "boxes", "leaf", "spot", "signs")
 
-    def __init__(self, no, text, tag, link, away, box, boxes, leaf, spot):
-        self.no, self.text, self.tag, self.link, self.away, self.box, self.boxes, self.leaf, self.spot = no, text, tag, link, away, box, boxes, leaf, spot
+    def __init__(self, no, text, tag, link, away, box, boxes, leaf, spot, signs):
+        self.no, self.text, self.tag, self.link, self.away, self.box, self.boxes, self.leaf, self.spot, self.signs = no, text, tag, link, away, box, boxes, leaf, spot, signs
 
 
 def host(url: str) -> str:
@@ -76,7 +78,7 @@ def host(url: str) -> str:
 def read_page(content: str | None, site: str) -> list[Line]:
     """The text lines of a page. box: path of the enclosing elements; leaf: that path with the block's own tags;
     spot: which instance of an element, counted through the page; link: share of the text inside links;
-    away: number of links to other hosts. Unclosed elements end with the element that encloses them."""
+    away: number of links to other hosts; signs: punctuation, as which the cells of a table's row and the end of a title count. Unclosed elements end with the element that encloses them."""
     own = host(site)
     stack: list[tuple[str, str]] = []
     path, spots, spot, out = "", [0], 0, []
@@ -111,5 +113,6 @@ def read_page(content: str | None, site: str) -> list[Line]:
                 there = host(h[1]) if h else ""
                 away += bool(there and there != own)
         share = min(1.0, link / len(text))
-        out.append(Line(no, text, tag, share, away, path, len(stack), f"{path}/{tag}/a" if share > 0.9 else f"{path}/{tag}", spots[-1]))
+        signs = len(PUNCT.findall(text)) + (len(CELL.findall(raw)) if tag == "tr" else tag in TITLES)
+        out.append(Line(no, text, tag, share, away, path, len(stack), f"{path}/{tag}/a" if share > 0.9 else f"{path}/{tag}", spots[-1], signs))
     return out

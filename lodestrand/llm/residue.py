@@ -11,7 +11,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lodestrand.llm.content import each_page, pages_of, with_notes
+from lodestrand.llm.content import pages_of, read_pages
 
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 SENTENCE = re.compile(r"[.!?。](?=\s|$)|\n")
@@ -107,10 +107,10 @@ def residue(parts: list[tuple[str, str]]) -> str | None:
     return max(sorted(kinds), key=kinds.get)
 
 
-def _exclude(batches):
+def _exclude(pages):
     last, ids, kinds = None, [], []
     out = lambda: pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(kinds, pa.string())], ["item_id", "kind"])
-    for batch, item, _, lines, keep, _ in each_page(batches):
+    for batch, item, lines, keep in pages:
         if batch is not last and ids:
             yield out()
             ids, kinds = [], []
@@ -128,4 +128,4 @@ def residue_rows(items: DataFrame, *, item: str = "item_id", site: str = "site_u
     Rows without text give none, nor do rows whose page has no content of its own. Repeated ids are judged each by
     themselves; other columns are ignored; an empty table gives an empty result.
     """
-    return with_notes(pages_of(items, item, site, text)).mapInArrow(_exclude, "item_id bigint, kind string")
+    return read_pages(pages_of(items, item, site, text), _exclude, "item_id bigint, kind string")
