@@ -4,9 +4,13 @@ Method: minimum-cut labelling. The blocks (lines) of a text are nodes. For each
 a cost of calling it markup and of calling it plain; these become the capacities to the two terminals. Neighbouring
 blocks, and blocks held together by one element (an opening and its closing tag, a fence, an environment, a table),
 are joined by smoothness edges. The minimum cut separates the blocks of the language from the plain ones.
-A language occurs in a text if a construct of its own stands there, be it a single one: so a block with one is never
-outvoted, and which languages a text holds is decided by the constructs alone. The cut decides which of the other blocks
-are the language's too (signs beside constructs, the inside of elements), and only the language's blocks are cleaned.
+A language occurs in a text if the cut puts a block with a construct of its own there to the language; and only the
+language's blocks are cleaned.
+
+The classifier is naive Bayes over the kinds of constructs and signs, fitted on a sample of at most FIT_DOCS documents:
+the cost of a kind is the log odds of meeting it in a block of a text that is full of the language's constructs against
+one of a text that is not. A kind that stands alone in many texts (a sign of ordinary writing) thus tells little, and its
+neighbours decide; one that mostly stands among others decides alone.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ import re
 from bisect import bisect_right
 from collections import deque
 from itertools import accumulate, groupby
+from math import exp, log
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,18 +34,36 @@ TAGS = "p|h[1-6]|ul|ol|li|dl|dt|dd|table|thead|tbody|tr|th|td|caption|pre|code|b
 PAGE_TAGS = "meta|link|base|aside|noscript|address|time|abbr|cite|q|del|ins|kbd|var|samp|mark|big|tt|strike|tfoot|col|colgroup|select|option|textarea|fieldset|legend|details|summary|picture|object|param|embed|map|area"
 # Constructs that only a language's markup has, and signs that become markup beside them. Bare signs of ordinary
 # writing (prices, comparisons, footnote numbers, file names, bullets) are in neither list of any language.
-OWN = {
-    "html": re.compile(rf"</?(?:{TAGS})(?:\s[^<>]*)?/?>|<!--|<!doctype\b|&(?:[a-z]{{2,8}}[0-9]{{0,2}}|#\d{{1,7}}|#x[0-9a-f]{{1,6}});", re.I),
-    "markdown": re.compile(r"(?m)^#{1,6} \S|^={3,}\s*$|\*\*[^*\s](?:[^*\n]*[^*\s])?\*\*|~~[^~\n]+~~|!?\[(?:[^\[\]\n]|\[[^\[\]\n]*\])*\]\([^()\s]*(?: \"[^\"\n]*\")?\)|^```|(?<!`)`[^`\n]+`(?!`)|^\|?(?:\s*:?-{3,}:?\s*\|){1,}"),
-    "wiki": re.compile(r"(?m)^(={2,6})[^=\n]+\1\s*$|\[\[[^\[\]\n]+\]\]|'''[^'\n]+'''|(?<![`'\w])''[^'`\n]+''(?!')|\{\{[^{}\n]+\}\}|^\{\|.*$|^\|\}\s*$|^\|-\s*$|\[https?://\S+ [^\]\n]+\]|<ref\b|</ref>|<nowiki>|^#REDIRECT\b"),
-    "latex": re.compile(r"\\(?:begin|end)\{|\\(?:sub)*section\b|\\(?:chapter|paragraph|label|caption|footnote|text[a-z]{2}|emph|cite[a-z]*|ref|item|frac|sqrt|sum|int|left|right|alpha|beta|usepackage|documentclass|maketitle|hline|S)(?![A-Za-z])|\\[A-Za-z]+\{|\$[^$\n]*[\\^_{][^$\n]*\$|``[^`'\n]+''|\\\[|\\\("),
+OWN_KINDS = {
+    "html": {"tag": rf"</?(?:{TAGS})(?:\s[^<>]*)?/?>", "comment": r"<!--", "doctype": r"<!doctype\b", "entity": r"&(?:[a-z]{2,8}[0-9]{0,2}|#\d{1,7}|#x[0-9a-f]{1,6});"},
+    "markdown": {
+        "heading": r"^#{1,6} \S", "rule": r"^={3,}\s*$", "strong": r"\*\*[^*\s](?:[^*\n]*[^*\s])?\*\*", "strike": r"~~[^~\n]+~~",
+        "link": r"!?\[(?:[^\[\]\n]|\[[^\[\]\n]*\])*\]\([^()\s]*(?: \"[^\"\n]*\")?\)", "fence": r"^```", "code": r"(?<!`)`[^`\n]+`(?!`)", "table": r"^\|?(?:\s*:?-{3,}:?\s*\|){1,}",
+    },
+    "wiki": {
+        "heading": r"^(?P<level>={2,6})[^=\n]+(?P=level)\s*$", "link": r"\[\[[^\[\]\n]+\]\]", "bold": r"'''[^'\n]+'''", "italic": r"(?<![`'\w])''[^'`\n]+''(?!')", "template": r"\{\{[^{}\n]+\}\}",
+        "table": r"^\{\|.*$|^\|\}\s*$|^\|-\s*$", "weblink": r"\[https?://\S+ [^\]\n]+\]", "note": r"<ref\b|</ref>|<nowiki>", "redirect": r"^#REDIRECT\b",
+    },
+    "latex": {
+        "environment": r"\\(?:begin|end)\{", "section": r"\\(?:sub)*section\b",
+        "command": r"\\(?:chapter|paragraph|label|caption|footnote|text[a-z]{2}|emph|cite[a-z]*|ref|item|frac|sqrt|sum|int|left|right|alpha|beta|usepackage|documentclass|maketitle|hline|S)(?![A-Za-z])|\\[A-Za-z]+\{",
+        "maths": r"\$[^$\n]*[\\^_{][^$\n]*\$|\\\[|\\\(", "quotes": r"``[^`'\n]+''",
+    },
 }
-SIGNS = {
-    "html": re.compile(r"[<>&]"),
-    "markdown": re.compile(r"(?m)^(?:> |[-*+] |\d+\. |\||-{3,}\s*$)|\*[^*\s][^*\n]*\*|_[^_\n]+_"),
-    "wiki": re.compile(r"(?m)^[*#:;]+|^[|!]|''"),
-    "latex": re.compile(r"[\\{}~^_&]|\$"),
+SIGN_KINDS = {
+    "html": {"less": "<", "more": ">", "and": "&"},
+    "markdown": {"quote": "^> ", "bullet": "^[-*+] ", "number": r"^\d+\. ", "pipe": r"^\|", "line": r"^-{3,}\s*$", "star": r"\*[^*\s][^*\n]*\*", "under": r"_[^_\n]+_"},
+    "wiki": {"item": "^[*#:;]+", "cell": "^[|!]", "quotes": "''"},
+    "latex": {"back": r"\\", "brace": "[{}]", "tilde": "~", "hat": r"\^", "low": "_", "and": "&", "dollar": r"\$"},
 }
+
+
+def _any(kinds: dict[str, str], flags: int = 0) -> re.Pattern:
+    return re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern in kinds.items()), re.M | flags)
+
+
+OWN = {language: _any(kinds, re.I if language == "html" else 0) for language, kinds in OWN_KINDS.items()}
+SIGNS = {language: _any(kinds) for language, kinds in SIGN_KINDS.items()}
 # Pairs that hold the blocks between them together.
 HOLD = {
     "html": (re.compile(r"<(ul|ol|table|pre|dl|blockquote|div|p|h[1-6]|i|b)\b[^<>]*>", re.I), re.compile(r"</(ul|ol|table|pre|dl|blockquote|div|p|h[1-6]|i|b)\s*>", re.I)),
@@ -55,10 +78,13 @@ SPAN = {
     "wiki": re.compile(r"<ref\b[^<>]*>.*?</ref>", re.S),
     "latex": re.compile(r"\\\[.*?\\\]|\\[A-Za-z]+\{[^{}]*\}", re.S),
 }
-QUOTE = re.compile(r"> ")  # in a text of Markdown a quoted line is the language's wherever it stands
-# Terminal capacities and smoothness, in half units of one plain block's cost. A block with signs is undecided by itself;
-# what an element holds is no evidence of plain writing.
-PLAIN, OWN_COST, SIGN_COST, QUOTE_COST, NEAR, HELD = 2, 12, 2, 5, 1, 3
+# Costs: what a block's plainness weighs, and the smoothness edges. What an element holds is no evidence of plain writing.
+PLAIN, NEAR, HELD = 1.0, 0.5, 3.0
+# The classifier: documents of its sample, blocks that either side must have for a fit, the costs before any is seen
+# (as if on PRIOR_BLOCKS blocks), and how many constructs a text is full of the language with.
+FIT_DOCS, FIT_BLOCKS, PRIOR_BLOCKS, OWN_COST, SIGN_COST, FULL = 20_000, 200, 50.0, 6.0, 0.7, 3
+MOST_COST = 8.0
+Costs = dict[str, dict[str, float]]
 ORDER = ("html", "markdown", "wiki", "latex")
 
 
@@ -160,33 +186,42 @@ def spans(blocks: list[str], language: str) -> list[tuple[int, int]]:
     return out
 
 
-def label(blocks: list[str], language: str, own: list[int]) -> list[bool]:
-    """Which blocks the cut puts to the language. own: constructs of the language in each block."""
-    n = len(blocks)
-    source = [OWN_COST * k + (SIGN_COST if SIGNS[language].search(b) else 0) for k, b in zip(own, blocks, strict=True)]
-    sink = [PLAIN if b.strip() else 0 for b in blocks]
+PRIOR: Costs = {language: {**dict.fromkeys(OWN_KINDS[language], OWN_COST), **{f"sign {k}": SIGN_COST for k in SIGN_KINDS[language]}} for language in ORDER}
+
+
+def signs(block: str, language: str) -> set[str]:
+    return {f"sign {m.lastgroup}" for m in SIGNS[language].finditer(block)}
+
+
+def label(blocks: list[str], language: str, own: list[list[str]], costs: Costs = PRIOR) -> list[bool]:
+    """Which blocks the cut puts to the language. own: the kinds of the language's constructs in each block."""
+    n, cost = len(blocks), costs[language]
+    source, sink = [0.0] * n, [0.0] * n
+    for i, (kinds, b) in enumerate(zip(own, blocks, strict=True)):
+        tells = [cost[k] for k in (*kinds, *signs(b, language))]
+        source[i] = sum(c for c in tells if c > 0)
+        sink[i] = (PLAIN if b.strip() else 0.0) - sum(c for c in tells if c < 0)
     near = [NEAR] * (n - 1)
-    if language == "markdown":
-        source = [c + QUOTE_COST if QUOTE.match(b) else c for c, b in zip(source, blocks, strict=True)]
     for i, j in {*holds(blocks, language), *spans(blocks, language)}:
         near[i] += HELD
-        sink[i] = sink[j] = 0
+        sink[i] = sink[j] = 0.0
     return chain_cut(source, sink, near)
 
 
-def counts(blocks: list[str], text: str, language: str) -> list[int]:
-    """Constructs of the language in each block; those of lines are matched in the whole text."""
-    out, starts, at = [0] * len(blocks), [], 0
+def constructs(blocks: list[str], text: str, language: str) -> list[list[str]]:
+    """The kinds of the language's constructs in each block; those of lines are matched in the whole text."""
+    out: list[list[str]] = [[] for _ in blocks]
+    starts, at = [], 0
     for b in blocks:
         starts.append(at)
         at += len(b) + 1
     i = 0
     for m in OWN[language].finditer(text):
-        if language == "markdown" and m[0][:3] == "===" and (m.start() == 0 or not _line_before(text, m.start()).strip()):
+        if m.lastgroup == "rule" and (m.start() == 0 or not _line_before(text, m.start()).strip()):
             continue  # a rule under nothing is no heading
         while i + 1 < len(starts) and starts[i + 1] <= m.start():
             i += 1
-        out[i] += 1
+        out[i].append(m.lastgroup)
     return out
 
 
@@ -195,7 +230,7 @@ def _line_before(text: str, at: int) -> str:
     return text[text.rfind("\n", 0, max(0, end)) + 1 : max(0, end)]
 
 
-def labels(text: str | None) -> dict[str, list[bool]]:
+def labels(text: str | None, costs: Costs = PRIOR) -> dict[str, list[bool]]:
     """For each language that occurs in the text, which of its blocks are the language's."""
     if not text:
         return {}
@@ -206,15 +241,63 @@ def labels(text: str | None) -> dict[str, list[bool]]:
         if not OWN[language].search(text):
             continue
         blocks = blocks or text.split("\n")
-        own = counts(blocks, text, language)
+        own = constructs(blocks, text, language)
         if not any(own):
             continue
-        side = label(blocks, language, own)
+        side = label(blocks, language, own, costs)
         if any(a and b for a, b in zip(side, own, strict=True)):
             found[language] = side
     return found
 
 
+def _tell(batches):
+    """(language, full, kind, blocks): how many blocks of texts that are full of a language, and of the others, hold a
+    kind; the kind '' stands for all blocks."""
+    for batch in batches:
+        acc: dict[tuple[str, bool, str], int] = {}
+        for text in batch.column(0).to_pylist():
+            text = text.replace("\r\n", "\n").replace("\r", "\n")
+            blocks = text.split("\n")
+            for language in ORDER:
+                own = constructs(blocks, text, language)
+                full = sum(map(len, own)) >= FULL
+                k = (language, full, "")
+                acc[k] = acc.get(k, 0) + sum(1 for b in blocks if b.strip())
+                for kinds, b in zip(own, blocks, strict=True):
+                    for kind in {*kinds, *signs(b, language)}:
+                        k = (language, full, kind)
+                        acc[k] = acc.get(k, 0) + 1
+        keys = list(acc)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.bool_()), pa.array([k[2] for k in keys], pa.string()), pa.array(list(acc.values()), pa.int64())],
+            ["language", "full", "kind", "blocks"],
+        )
+
+
+def fit(texts: DataFrame, most: int = FIT_DOCS) -> Costs:
+    """The classifier's costs, from the texts (doc, text) of the `most` documents with the least hashes of their ids; of
+    these one row for each kind comes to the driver. A language of which either side has fewer than FIT_BLOCKS blocks
+    keeps the costs of PRIOR."""
+    ids = texts.select("doc").filter("doc IS NOT NULL").orderBy(F.xxhash64("doc"), "doc").limit(most)
+    sample = texts.filter("text IS NOT NULL").join(F.broadcast(ids.distinct()), "doc", "left_semi").select("text")  # at most `most` ids
+    seen: dict[tuple[str, bool, str], int] = {}
+    for r in sample.mapInArrow(_tell, "language string, full boolean, kind string, blocks bigint").groupBy("language", "full", "kind").agg(F.sum("blocks").alias("blocks")).collect():
+        seen[r["language"], r["full"], r["kind"]] = r["blocks"]
+    out = {}
+    for language, prior in PRIOR.items():
+        yes, no = seen.get((language, True, ""), 0), seen.get((language, False, ""), 0)
+        if min(yes, no) < FIT_BLOCKS:
+            out[language] = prior
+            continue
+        out[language] = {}
+        for kind, before in prior.items():
+            with_, without = seen.get((language, True, kind), 0), seen.get((language, False, kind), 0)
+            # Smoothed by the prior's odds, as if seen on PRIOR_BLOCKS blocks of a full text.
+            odds = log((with_ + PRIOR_BLOCKS) / (yes + PRIOR_BLOCKS)) - log((without + PRIOR_BLOCKS * exp(-before) * no / yes) / (no + PRIOR_BLOCKS))
+            out[language][kind] = max(-MOST_COST, min(MOST_COST, odds))
+    return out
+
+
 # ---------------------------------------------------------------- clean text
 
 _BLOCK_TAG = re.compile(r"</?(p|div|ul|ol|table|tbody|thead|tr|dl|dt|dd|h[1-6]|blockquote|pre|section|article|br|hr|li)\b[^<>]*>", re.I)
@@ -317,12 +400,12 @@ def _latex(t: str) -> str:
 CLEAN = {"html": _html, "markdown": _markdown, "wiki": _wiki, "latex": _latex}
 
 
-def clean(text: str | None, found: dict[str, list[bool]] | None = None) -> str | None:
+def clean(text: str | None, found: dict[str, list[bool]] | None = None, costs: Costs = PRIOR) -> str | None:
     """The text without the markup of the languages it holds, of which only the languages' own blocks are changed. Headings become '# ' lines, lists '- ' lines, code is set in
     by four spaces, table cells are parted by tabs, formulas stay as written. Text without markup stays as it is."""
     if not text:
         return text
-    found = labels(text) if found is None else found
+    found = labels(text, costs) if found is None else found
     if not found:
         return text
     t = text.replace("\r\n", "\n").replace("\r", "\n")
@@ -330,43 +413,52 @@ def clean(text: str | None, found: dict[str, list[bool]] | None = None) -> str |
         if language in found:
             blocks = t.split("\n")
             # One language cleaned before shifts the blocks, so the next is labelled anew.
-            side = found[language] if len(found) == 1 else label(blocks, language, counts(blocks, t, language))
+            side = found[language] if len(found) == 1 else label(blocks, language, constructs(blocks, t, language), costs)
             runs = ((ours, "".join(b + "\n" for _, b in run)) for ours, run in groupby(zip(side, blocks, strict=True), key=lambda x: x[0]))
             t = "".join(CLEAN[language](run) if ours else run for ours, run in runs).removesuffix("\n")
     return re.sub(r"[ \t]+\n", "\n", re.sub(r"\n{3,}", "\n\n", t)).strip("\n")
 
 
-def _find(batches):
-    for batch in batches:
-        ids, kinds = [], []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            for language in labels(text):
-                ids.append(doc)
-                kinds.append(language)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(kinds, pa.string())], ["doc_id", "markup"])
+def _find(costs: Costs):
+    def find(batches):
+        for batch in batches:
+            ids, kinds = [], []
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for language in labels(text, costs):
+                    ids.append(doc)
+                    kinds.append(language)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(kinds, pa.string())], ["doc_id", "markup"])
 
+    return find
 
-def _clean(batches):
-    for batch in batches:
-        texts = batch.column(1).to_pylist()
-        found = [labels(t) for t in texts]
-        out = [clean(t, f) for t, f in zip(texts, found, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([",".join(f) for f in found], pa.string()), pa.array(out, pa.string())], ["doc_id", "markup", "text"])
+
+def _clean(costs: Costs):
+    def clean_batches(batches):
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            found = [labels(t, costs) for t in texts]
+            out = [clean(t, f, costs) for t, f in zip(texts, found, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([",".join(f) for f in found], pa.string()), pa.array(out, pa.string())], ["doc_id", "markup", "text"])
+
+    return clean_batches
 
 
-def markup_languages(documents: DataFrame, *, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def _source(documents: DataFrame, doc: str, text: str) -> DataFrame:
+    ship(documents.sparkSession)
+    return documents.select(F.col(doc).cast("bigint").alias("doc"), F.col(text).cast("string").alias("text"))
+
+
+def markup_languages(documents: DataFrame, *, doc: str = "doc_id", text: str = "text", costs: Costs | None = None) -> DataFrame:
     """(doc_id, markup): one row for each language whose markup a document's text holds.
 
     NULL, empty and plain texts give no row; repeated ids are judged each by themselves; other columns are ignored.
-    One pass over whole texts, without a shuffle.
+    costs: of the classifier, by default fitted on a sample of these documents. One pass over whole texts, no shuffle.
     """
-    ship(documents.sparkSession)
-    src = documents.select(F.col(doc).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return src.filter("text IS NOT NULL").mapInArrow(_find, "doc_id bigint, markup string")
+    src = _source(documents, doc, text)
+    return src.filter("text IS NOT NULL").mapInArrow(_find(costs or fit(src)), "doc_id bigint, markup string")
 
 
-def clean_texts(documents: DataFrame, *, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def clean_texts(documents: DataFrame, *, doc: str = "doc_id", text: str = "text", costs: Costs | None = None) -> DataFrame:
     """(doc_id, markup, text): every row, its languages joined by commas ('' for none) and its clean text (NULL stays NULL)."""
-    ship(documents.sparkSession)
-    src = documents.select(F.col(doc).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return src.mapInArrow(_clean, "doc_id bigint, markup string, text string")
+    src = _source(documents, doc, text)
+    return src.mapInArrow(_clean(costs or fit(src)), "doc_id bigint, markup string, text string")
