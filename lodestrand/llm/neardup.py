@@ -3,8 +3,9 @@
 Method: chosen-path join. Every text is the set of its word shingles, embedded as TOKENS min-wise tokens. A recursion
 splits the sets: a node of the tree chooses two tokens' places by a hash of its path, and each set goes on to the two
 children named by its tokens there, so sets meet in a leaf if they share all tokens chosen on the way. A leaf of at most
-`limit` sets is brute-forced; larger ones are split further; leaves that the deepest level still leaves large hold sets
-that agree almost wholly and are compared as they are. The tree is grown from as many other roots as `repeats_for` a
+`limit` sets is brute-forced. In a larger one each set is compared with the leaf's average by sketches: a set near it
+(NEAR of the threshold) is brute-forced against the leaf and taken out, as no split would part it from the others; the
+rest is split further. So a family of near-identical sets is compared where it first stands together. The tree is grown from as many other roots as `repeats_for` a
 pair at the threshold need to share a node of the deepest level with probability RECALL. All trees share one embedding,
 so the estimate averages over how many of its tokens such a pair has in common. Pairs above it are found more often.
 Candidates pass one-bit sketches, then the embedded sets, and last an exact check of the sets themselves.
@@ -30,7 +31,10 @@ from lodestrand.session import materialise, ship
 TAG = re.compile(r"<!--.*?-->|</?[A-Za-z!][^<>]*>", re.S)
 WORD = re.compile(r"[^\W_]+")
 TOKENS = 128
-RECALL, FIRST_DEPTH, STEP, MAX_DEPTH, LIMIT = 0.998, 3, 2, 13, 16
+RECALL, FIRST_DEPTH, STEP, MAX_DEPTH, LIMIT = 0.998, 1, 2, 13, 16
+NEAR = 0.9  # a set whose mean similarity to its leaf is this share of the threshold is brute-forced against it
+PATHS = 1 << 17  # paths that one slice of a batch grows to at most
+SALT_ROWS = 1000  # rows of a leaf, or copies of a class, that one task pairs with the whole of it
 MOST_REPEATS = 64  # for thresholds so low that no number of trees would reach the target
 MEMO = 500_000
 _rng = np.random.default_rng(20240607)
@@ -160,9 +164,11 @@ def _grow(repeats: int | None, levels: int):
                 lists = batch.column(4)
                 node = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
                 row = np.repeat(np.arange(n), np.diff(lists.offsets.to_numpy()))
-            row, node = children(sig, row, node, levels)
-            take = pa.array(row)
-            yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), *(batch.column(i).take(take) for i in (0, 2, 3))], ["leaf", "doc", "s1", "s2"])
+            step = max(1, PATHS >> levels)
+            for at in range(0, len(row), step):
+                r, below = children(sig, row[at : at + step], node[at : at + step], levels)
+                take = pa.array(r)
+                yield pa.RecordBatch.from_arrays([pa.array(below.view(np.int64)), *(batch.column(i).take(take) for i in (0, 2, 3))], ["leaf", "doc", "s1", "s2"])
 
     return run
 
@@ -207,36 +213,66 @@ class Join:
         self.links = materialise(self._verify(self._candidates(), docs, shingle, min_words), "p4-links")
 
     def _leaves(self) -> DataFrame:
-        """(leaf, doc, s1, s2) of the sets that share a leaf with another: small leaves, and what never became small."""
+        """(leaf, doc, s1, s2, probe, size) of the sets that share a leaf with another. Rows with probe are to be compared
+        with all rows of the leaf: all rows of a small leaf or one of the deepest level, and in larger ones the sets near
+        the average."""
         sets = materialise(self.sets.select("doc", "sig", "s1", "s2"), "p4-sets")
         schema = "leaf bigint, doc bigint, s1 bigint, s2 bigint"
         rows, depth, done = sets.mapInArrow(_grow(self.repeats, FIRST_DEPTH), schema), FIRST_DEPTH, []
+        out_of = lambda df, probe: df.select("leaf", "doc", "s1", "s2", probe.alias("probe"), "size")
+        every = F.lit(True)
         while True:
-            sizes = rows.groupBy("leaf").agg(F.count("*").alias("size")).filter("size > 1")  # combined before the shuffle
-            sized = materialise(rows.join(sizes, "leaf").withColumn("large", F.col("size") > self.limit).drop("size"), f"p4-leaves-{depth}", partition_by=["large"])
-            done.append(sized.filter("NOT large").drop("large"))
+            sized = materialise(self._sized(rows), f"p4-leaves-{depth}", partition_by=["large"])
+            done.append(out_of(sized.filter("NOT large"), every))
             large = sized.filter("large").drop("large")
             if large.isEmpty():
                 break
             if depth >= MAX_DEPTH:
-                done.append(large)
+                done.append(out_of(large, every))
                 break
-            again = large.groupBy("doc").agg(F.collect_list("leaf").alias("leaves"))  # bounded: repeats * 2 ** depth
+            judged = materialise(self._judged(large), f"p4-near-{depth}", partition_by=["near"])
+            held = judged.filter("near").select("leaf").distinct()
+            done.append(out_of(judged.join(held, "leaf", "left_semi"), F.col("near")))
+            # What is left of a leaf is another one; where it is small by now it is not split further.
+            rest = judged.filter("NOT near").select(F.xxhash64("leaf", F.lit(depth)).alias("leaf"), "doc", "s1", "s2")
+            rest = materialise(self._sized(rest), f"p4-rest-{depth}", partition_by=["large"])
+            done.append(out_of(rest.filter("NOT large"), every))
+            again = rest.filter("large").groupBy("doc").agg(F.collect_list("leaf").alias("leaves"))  # bounded: repeats * 2 ** depth
             rows, depth = sets.join(again, "doc").select("doc", "sig", "s1", "s2", "leaves").mapInArrow(_grow(None, STEP), schema), depth + STEP
         out = done[0]
         for d in done[1:]:
             out = out.unionByName(d)
         return out
 
+    def _sized(self, rows: DataFrame) -> DataFrame:
+        """rows with the size of their leaf and whether it is large; those alone in a leaf are left out."""
+        sizes = rows.groupBy("leaf").agg(F.count("*").alias("size")).filter("size > 1")  # combined before the shuffle
+        return rows.join(sizes, "leaf").withColumn("large", F.col("size") > self.limit)
+
+    def _judged(self, large: DataFrame) -> DataFrame:
+        """large with `near`: whether a set's mean similarity to the others of its leaf is NEAR of the threshold. The mean
+        comes of the leaf's counts of each bit of the sketches, which combine before they shuffle."""
+        bit = lambda j: F.shiftrightunsigned("s1", j).bitwiseAND(F.lit(1))
+        ones = large.groupBy("leaf").agg(*(F.sum(bit(j)).alias(f"c{j}") for j in range(64)))
+        n = F.col("size")
+        same = sum((F.when(bit(j) == 1, F.col(f"c{j}")).otherwise(n - F.col(f"c{j}")) for j in range(64)), F.lit(0))
+        mean = 2 * ((same - 64) / (64 * (n - 1))) - 1  # without the set itself; two sets' bits agree by (1 + J) / 2
+        return large.join(ones, "leaf").select("leaf", "doc", "s1", "s2", "size", (mean >= NEAR * self.threshold).alias("near"))
+
     def _candidates(self) -> DataFrame:
         """(a, b, same): distinct pairs of a leaf that pass the sketches, with their shared tokens."""
         rows = self._leaves()
-        other = rows.select("leaf", F.col("doc").alias("b"), F.col("s1").alias("t1"), F.col("s2").alias("t2"))
+        # A leaf of many rows is spread: its probes go to several tasks, and all its rows to each of these.
+        rows, parts = rows.withColumn("parts", F.ceil(F.col("size") / SALT_ROWS).cast("int")), F.col("parts")
+        probes = rows.filter("probe").select("leaf", F.pmod(F.xxhash64("doc"), parts).cast("int").alias("salt"), F.col("doc").alias("a"), "s1", "s2")
+        other = rows.select("leaf", F.explode(F.sequence(F.lit(0), parts - 1)).alias("salt"), F.col("doc").alias("b"), F.col("s1").alias("t1"), F.col("s2").alias("t2"), F.col("probe").alias("back"))
         # A bit agrees with probability (1 + J) / 2; four standard deviations are allowed below that.
         p = (1 + self.threshold) / 2
         most = int(TOKENS * (1 - p) + 4 * (TOKENS * p * (1 - p)) ** 0.5)
         differ = F.bit_count(F.col("s1").bitwiseXOR(F.col("t1"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("t2")))
-        pairs = rows.withColumnRenamed("doc", "a").join(other, "leaf").filter((F.col("a") < F.col("b")) & (differ <= most)).select("a", "b").distinct()
+        once = F.when(F.col("back"), F.col("a") < F.col("b")).otherwise(F.col("a") != F.col("b"))  # of two probes one asks
+        met = probes.join(other, ["leaf", "salt"]).filter(once & (differ <= most))
+        pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         sig = self.sets.select("doc", "sig")
         both = pairs.join(sig.select(F.col("doc").alias("a"), F.col("sig").alias("sig_a")), "a").join(sig.select(F.col("doc").alias("b"), F.col("sig").alias("sig_b")), "b")
         same = both.select("a", "b", "sig_a", "sig_b").mapInArrow(_agree, "a bigint, b bigint, same int")
@@ -257,10 +293,13 @@ class Join:
     def pairs(self) -> DataFrame:
         """(a, b), a < b, of all texts, copies included. Its size is that of the answer: quadratic in a class of copies."""
         members = self.classes.select("doc", "rep")
+        sizes = members.groupBy("rep").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("parts"), F.count("*").alias("n")).filter("n > 1").select(F.col("rep").alias("r"), "parts")
         left = members.select(F.col("doc").alias("x"), F.col("rep").alias("a"))
         right = members.select(F.col("doc").alias("y"), F.col("rep").alias("b"))
         across = self.links.join(left, "a").join(right, "b").select("x", "y")
-        within = left.withColumnRenamed("a", "r").join(right.withColumnRenamed("b", "r"), "r").filter("x < y").select("x", "y")
+        salted = left.withColumnRenamed("a", "r").join(sizes, "r").withColumn("salt", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int"))
+        copied = right.withColumnRenamed("b", "r").join(sizes, "r").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        within = salted.join(copied.select("r", "salt", "y"), ["r", "salt"]).filter("x < y").select("x", "y")
         return across.unionByName(within).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
     def groups(self) -> DataFrame:
