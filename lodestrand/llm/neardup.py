@@ -22,7 +22,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrand.llm.pages import key
@@ -31,7 +31,7 @@ from lodestrand.session import materialise, ship
 TAG = re.compile(r"<!--.*?-->|</?[A-Za-z!][^<>]*>", re.S)
 WORD = re.compile(r"[^\W_]+")
 TOKENS = 128
-RECALL, FIRST_DEPTH, STEP, MAX_DEPTH, LIMIT = 0.998, 1, 2, 13, 16
+RECALL, FIRST_DEPTH, STEP, MAX_DEPTH, LIMIT = 0.998, 2, 3, 13, 16
 NEAR = 0.9  # a set whose mean similarity to its leaf is this share of the threshold is brute-forced against it
 PATHS = 1 << 17  # paths that one slice of a batch grows to at most
 SALT_ROWS = 1000  # rows of a leaf, or copies of a class, that one task pairs with the whole of it
@@ -198,6 +198,10 @@ def _agree(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array((a == b).sum(1).astype(np.int32))], ["a", "b", "same"])
 
 
+def _bit(j: int) -> Column:
+    return F.shiftrightunsigned("s1", j).bitwiseAND(F.lit(1))
+
+
 class Join:
     """A chosen-path self-join. `classes`: (doc, rep, n) of every text that takes part; `links`: (a, b, jaccard), a < b, between representatives."""
 
@@ -230,15 +234,19 @@ class Join:
             if depth >= MAX_DEPTH:
                 done.append(out_of(large, every))
                 break
-            judged = materialise(self._judged(large), f"p4-near-{depth}", partition_by=["near"])
-            held = judged.filter("near").select("leaf").distinct()
-            done.append(out_of(judged.join(held, "leaf", "left_semi"), F.col("near")))
-            # What is left of a leaf is another one; where it is small by now it is not split further.
-            rest = judged.filter("NOT near").select(F.xxhash64("leaf", F.lit(depth)).alias("leaf"), "doc", "s1", "s2")
-            rest = materialise(self._sized(rest), f"p4-rest-{depth}", partition_by=["large"])
-            done.append(out_of(rest.filter("NOT large"), every))
-            again = rest.filter("large").groupBy("doc").agg(F.collect_list("leaf").alias("leaves"))  # bounded: repeats * 2 ** depth
-            rows, depth = sets.join(again, "doc").select("doc", "sig", "s1", "s2", "leaves").mapInArrow(_grow(None, STEP), schema), depth + STEP
+            dense, rest = materialise(self._dense(large), f"p4-dense-{depth}"), large.select("leaf", "doc", "s1", "s2")
+            if not dense.isEmpty():
+                judged = materialise(self._judged(large, dense), f"p4-near-{depth}", partition_by=["near"])
+                held = judged.filter("near").select("leaf").distinct()
+                done.append(out_of(judged.join(held, "leaf", "left_semi"), F.col("near")))
+                # What is left of a leaf is another one; where it is small by now it is not split further.
+                left = judged.filter("NOT near").select(F.xxhash64("leaf", F.lit(depth)).alias("leaf"), "doc", "s1", "s2")
+                left = materialise(self._sized(left), f"p4-rest-{depth}", partition_by=["large"])
+                done.append(out_of(left.filter("NOT large"), every))
+                rest = rest.join(dense.select("leaf"), "leaf", "left_anti").unionByName(left.filter("large").select(*rest.columns))
+            step = min(STEP, MAX_DEPTH - depth)
+            again = rest.groupBy("doc").agg(F.collect_list("leaf").alias("leaves"))  # bounded: repeats * 2 ** depth
+            rows, depth = sets.join(again, "doc").select("doc", "sig", "s1", "s2", "leaves").mapInArrow(_grow(None, step), schema), depth + step
         out = done[0]
         for d in done[1:]:
             out = out.unionByName(d)
@@ -249,15 +257,23 @@ class Join:
         sizes = rows.groupBy("leaf").agg(F.count("*").alias("size")).filter("size > 1")  # combined before the shuffle
         return rows.join(sizes, "leaf").withColumn("large", F.col("size") > self.limit)
 
-    def _judged(self, large: DataFrame) -> DataFrame:
-        """large with `near`: whether a set's mean similarity to the others of its leaf is NEAR of the threshold. The mean
-        comes of the leaf's counts of each bit of the sketches, which combine before they shuffle."""
-        bit = lambda j: F.shiftrightunsigned("s1", j).bitwiseAND(F.lit(1))
-        ones = large.groupBy("leaf").agg(*(F.sum(bit(j)).alias(f"c{j}") for j in range(64)))
+    def _dense(self, large: DataFrame) -> DataFrame:
+        """(leaf, c0 .. c63) of the leaves whose mean similarity is such that sets near their average make up a good part
+        of them: a share f of near-identical sets gives f ** 2. The c are the leaf's counts of each bit of the sketches,
+        which combine before they shuffle; of n sets c ** 2 + (n - c) ** 2 ordered pairs agree in a bit."""
+        ones = large.groupBy("leaf").agg(F.max("size").alias("n"), *(F.sum(_bit(j)).alias(f"c{j}") for j in range(64)))
+        n = F.col("n").cast("double")
+        agree = sum((F.col(f"c{j}") * F.col(f"c{j}").cast("double") + (n - F.col(f"c{j}")) * (n - F.col(f"c{j}")) for j in range(64)), F.lit(0.0))
+        mean = 2 * (agree - 64 * n) / (64 * n * (n - 1)) - 1
+        return ones.filter(mean >= (NEAR * self.threshold) ** 2).drop("n")
+
+    def _judged(self, large: DataFrame, dense: DataFrame) -> DataFrame:
+        """The rows of dense leaves with `near`: whether a set's mean similarity to the others of its leaf is NEAR of the
+        threshold; two sets' bits agree by (1 + J) / 2."""
         n = F.col("size")
-        same = sum((F.when(bit(j) == 1, F.col(f"c{j}")).otherwise(n - F.col(f"c{j}")) for j in range(64)), F.lit(0))
-        mean = 2 * ((same - 64) / (64 * (n - 1))) - 1  # without the set itself; two sets' bits agree by (1 + J) / 2
-        return large.join(ones, "leaf").select("leaf", "doc", "s1", "s2", "size", (mean >= NEAR * self.threshold).alias("near"))
+        same = sum((F.when(_bit(j) == 1, F.col(f"c{j}")).otherwise(n - F.col(f"c{j}")) for j in range(64)), F.lit(0))
+        mean = 2 * ((same - 64) / (64 * (n - 1))) - 1  # without the set itself
+        return large.join(dense, "leaf").select("leaf", "doc", "s1", "s2", "size", (mean >= NEAR * self.threshold).alias("near"))
 
     def _candidates(self) -> DataFrame:
         """(a, b, same): distinct pairs of a leaf that pass the sketches, with their shared tokens."""
