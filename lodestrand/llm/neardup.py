@@ -254,7 +254,8 @@ class Join:
 
     def _sized(self, rows: DataFrame) -> DataFrame:
         """rows with the size of their leaf and whether it is large; those alone in a leaf are left out."""
-        sizes = rows.groupBy("leaf").agg(F.count("*").alias("size")).filter("size > 1")  # combined before the shuffle
+        rows = rows.repartition("leaf")  # one shuffle for the sizes and the join, as the rows have to go there anyway
+        sizes = rows.groupBy("leaf").agg(F.count("*").alias("size")).filter("size > 1")
         return rows.join(sizes, "leaf").withColumn("large", F.col("size") > self.limit)
 
     def _dense(self, large: DataFrame) -> DataFrame:
