@@ -47,7 +47,7 @@ def distinct_records(records: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Report:
-    """What `compact` did: rows and a checksum on either side, and the number of files written."""
+    """What `compact` did: rows and a checksum on either side, and the number of ranges, of which empty ones have no file."""
 
     rows: int
     checksum: int
@@ -90,10 +90,13 @@ def compact(records: DataFrame, target: str, *, keys: list[str], target_bytes: i
 
 
 def swap(spark: SparkSession, new: str, live: str) -> None:
-    """Put the folder `new` in the place of `live` by two renames; on failure of the second the first is undone."""
+    """Put the folder `new` in the place of `live` by two renames; on failure of the second the first is undone. A run
+    that died between the two left `live` only as `.old`: that is put back first."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(live).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     old = f"{live}.old"
+    if not fs.exists(path(live)) and fs.exists(path(old)) and not fs.rename(path(old), path(live)):
+        raise RuntimeError(f"{old} cannot be put back to {live}")
     remove(spark, old)
     had = fs.exists(path(live))
     if had and not fs.rename(path(live), path(old)):

@@ -19,6 +19,14 @@ def seeds(spark, config: CrawlConfig) -> DataFrame:
     return spark.createDataFrame([(u, i) for i, u in enumerate(urls)], "url string, seq bigint")
 
 
+def seeds_of(configs: DataFrame) -> DataFrame:
+    """(site_url, url, seq) of a table of crawls: `seeds` of each. A crawl without a site has none."""
+    root = F.regexp_replace("site_url", "/$", "")
+    own = F.filter(F.array_distinct(F.coalesce("start_urls", F.array().cast("array<string>"))), lambda u: u.isNotNull() & (F.regexp_replace(u, "/+$", "") != root))
+    rows = configs.filter("site_url IS NOT NULL").select("site_url", F.posexplode(F.concat(own, F.array(F.concat(root, F.lit("/"))))).alias("seq", "url"))
+    return rows.select("site_url", "url", F.col("seq").cast("bigint").alias("seq"))
+
+
 def with_root(links: DataFrame, config: CrawlConfig) -> DataFrame:
     """Links to the site without its last slash lead to the root, which keeps it: they are one page."""
     return links.withColumn("dst", F.when(F.col("dst") == config.site_url.rstrip("/"), config.site_url).otherwise(F.col("dst")))
@@ -38,7 +46,9 @@ def traverse(start: DataFrame, edges: DataFrame, *, reject: Column | None = None
     """
     spark = start.sparkSession
     why = reject if reject is not None else F.lit(None).cast("string")
-    links = edges.select("src", "pos", "dst").filter("src IS NOT NULL AND dst IS NOT NULL")
+    # Each pair of pages once, written: what makes the edges (parsing of pages, often) is done once, not in each round.
+    links = edges.filter("src IS NOT NULL AND dst IS NOT NULL").groupBy("src", "dst").agg(F.min("pos").alias("pos"))
+    links = materialise(links, "crawl-edges")
     first = start.filter("url IS NOT NULL").groupBy("url").agg(F.min("seq").alias("seq"))
     frontier = first.select("url", F.lit(0).cast("bigint").alias("parent"), F.col("seq").alias("at"))
     done: list[DataFrame] = []
@@ -77,8 +87,8 @@ def traverse(start: DataFrame, edges: DataFrame, *, reject: Column | None = None
 
 def first_encounters(links: DataFrame) -> DataFrame:
     """(dst, seq, pos): for each link target its earliest occurrence; combined before the shuffle, so a target with a
-    tenth of all links is one row a task."""
-    return links.filter("dst IS NOT NULL").groupBy("dst").agg(F.min(F.struct("seq", "pos")).alias("m")).select("dst", "m.seq", "m.pos")
+    tenth of all links is one row a task. Refresh links are followed but give no rank."""
+    return links.filter("dst IS NOT NULL AND (attr IS NULL OR attr <> 'refresh')").groupBy("dst").agg(F.min(F.struct("seq", "pos")).alias("m")).select("dst", "m.seq", "m.pos")
 
 
 def sort_order(links: DataFrame) -> DataFrame:
@@ -114,7 +124,7 @@ def redirects(fetches: DataFrame) -> DataFrame:
 
 
 def crawl_items(
-    config: CrawlConfig, fetches: DataFrame, links: DataFrame, pages: DataFrame, *, order: DataFrame | None = None, backlinks_kept: int | None = None, rules: DataFrame | None = None
+    config: CrawlConfig, fetches: DataFrame, links: DataFrame, pages: DataFrame, *, order: DataFrame | None = None, backlinks_kept: int | None = None, rules: DataFrame | None = None, reached: DataFrame | None = None
 ) -> DataFrame:
     """The items of one crawl, from what was fetched: bad, redirect and content rows.
 
@@ -122,11 +132,12 @@ def crawl_items(
     requested URL. Every URL reached from the seeds gives a bad row, or a content row, and a redirect row before it where
     it was redirected. A redirect that leaves the site is bad. Backlinks are those of the whole crawl, not of the moment;
     all of them become the array, or the first `backlinks_kept`. URLs that robots `rules` forbid are bad. The root's and
-    the seeds' sort order is 0.
+    the seeds' sort order is 0. reached: what `traverse` gave of these links, where that is known already.
     """
     spark = fetches.sparkSession
     links = with_root(links, config)
-    reached = traverse(seeds(spark, config), links, reject=verdict(F.col("url"), config), rules=rules, max_pages=config.max)
+    if reached is None:
+        reached = traverse(seeds(spark, config), links, reject=verdict(F.col("url"), config), rules=rules, max_pages=config.max)
     first = order if order is not None else sort_order(links)
     got = reached.join(fetches, "url", "left").join(pages, "url", "left")
     final = F.coalesce("final_url", F.col("url"))
@@ -135,7 +146,7 @@ def crawl_items(
     got = got.join(back, "target", "left").join(first.select(F.col("dst").alias("url"), "sortorder"), "url", "left")
     text = F.when(within_size(F.col("content_text"), config.maxsize), F.col("content_text"))
     site = F.lit(config.site_url)
-    fine = F.col("reason").isNull() & F.col("error").isNull() & F.coalesce(~F.col("status").isin(401, 403, 404, 410, 500, 502, 503), F.lit(True)) & in_site("final", site) & can_emit(F.col("content_info"), text, F.col("body"))
+    fine = F.col("reason").isNull() & F.col("error").isNull() & F.coalesce(F.col("status") < 400, F.lit(True)) & in_site("final", site) & can_emit(F.col("content_info"), text, F.col("body"))
     base = got.withColumns({"fine": F.coalesce(fine, F.lit(False)), "from": site_path("url", site), "to": site_path("final", site), "seq": F.coalesce("sortorder", F.lit(0))})
     null = lambda t: F.lit(None).cast(t)
     bad = base.filter(~F.col("fine")).select(F.col("url").alias("bad_url"), "place", F.lit(1).alias("turn"))

@@ -54,7 +54,7 @@ def decode_page(body: bytes | None, content_type: str | None) -> str | None:
         return None
     body = bytes(body)
     head = re.search(r"""charset\s*=\s*["']?([^\s;"']+)""", content_type or "", re.I)
-    meta = META_CHARSET.search(body[:4096])
+    meta = META_CHARSET.search(body)
     for name in (head and head[1], meta and meta[1].decode("ascii", "ignore"), "utf-8"):
         if not name:
             continue
@@ -223,6 +223,11 @@ def anchors(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(1))
 
 
+def title(html: Column) -> Column:
+    """A page's title as it is written, white space squashed; '' for none."""
+    return F.trim(F.regexp_replace(F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title", 1), r"\s+", " "))
+
+
 def meta_refresh(html: Column) -> Column:
     """The target of a page's refresh in its own spelling, NULL for none."""
     hit = F.regexp_extract(html, META_REFRESH, 1)

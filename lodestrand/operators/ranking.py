@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrand.session import materialise
@@ -12,22 +12,21 @@ def ranked(df: DataFrame, keys: list[str], name: str = "rank", *, within: str |
     """df with a BIGINT column: its place, from 0, in the order of keys; with `within`, its place among the rows of the same
     value of that column, which must be the first key.
 
-    The table is range-partitioned by sampled boundaries and numbered within partitions; the counts of the partitions
-    before it (one number each) are added. A hot value of `within` may lie across many partitions. Ties are numbered in
-    an arbitrary but fixed order.
+    The table is range-partitioned by sampled boundaries (the one shuffle), sorted and numbered within partitions; the
+    counts of the partitions before it (one number each) are added. A hot value of `within` may lie across many
+    partitions. Ties are numbered in an arbitrary but fixed order.
     """
     spark = df.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(parts, *keys).withColumn("__part", F.spark_partition_id())
-    placed = placed.withColumn("__row", F.row_number().over(Window.partitionBy("__part").orderBy(*keys)))
-    held = materialise(placed, "ranked")
-    before = {}
-    total = 0
+    placed = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("__id", F.monotonically_increasing_id())
+    # The number is the partition's, then the row's within it.
+    held = materialise(placed, "ranked").withColumns({"__part": F.shiftright("__id", 33), "__row": F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))})
+    before, total = [], 0
     for r in held.groupBy("__part").count().orderBy("__part").collect():  # a row for each partition
-        before[r["__part"]] = total
+        before.append((r["__part"], total))
         total += r["count"]
-    offsets = F.element_at(F.create_map(*(F.lit(x) for kv in (before or {0: 0}).items() for x in kv)), F.col("__part"))
-    out = held.withColumn(name, (offsets + F.col("__row") - 1).cast("bigint")).drop("__part", "__row")
+    offsets = F.broadcast(spark.createDataFrame(before, "__part bigint, __before bigint"))
+    out = held.join(offsets, "__part").withColumn(name, F.col("__before") + F.col("__row")).drop("__part", "__row", "__id", "__before")
     if within is None:
         return out
     first = out.groupBy(within).agg(F.min(name).alias("__first"))

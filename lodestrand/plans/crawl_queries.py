@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lodestrand.functions import urls as U
 from lodestrand.operators import crawl, filters, pages, ranking, recognise
-from lodestrand.schema import EXTENSIONS
+from lodestrand.schema import EXTENSIONS, HTML_TYPES
 from lodestrand.session import table
 from lodestrand.sinks import cache
 from lodestrand.sources import store
@@ -47,9 +47,14 @@ def _asked(spark, d):
     return filters.with_config(targets, table(spark, d, "crawl_configs"))
 
 
-@query(f"WITH {SITES} SELECT url, c.site_url AS site_url, list_filter(c.ignore, lambda p: regexp_matches(url, p))[1] AS pattern FROM asked WHERE len(list_filter(c.ignore, lambda p: regexp_matches(url, p))) > 0")
+_IGNORE = "list_concat(coalesce(c.ignore, []), ['/(help|archive)'])"
+
+
+@query(f"WITH {SITES} SELECT url, c.site_url AS site_url, list_filter({_IGNORE}, lambda p: regexp_matches(url, p))[1] AS pattern FROM asked WHERE len(list_filter({_IGNORE}, lambda p: regexp_matches(url, p))) > 0")
 def crawl_ignore_filter(spark, d):
-    hit = F.filter("config.ignore", lambda p: F.regexp_like(F.col("url"), p))
+    """By the crawls' own patterns, of which few meet a link of these tables, and one more."""
+    patterns = F.concat(F.coalesce("config.ignore", F.array().cast("array<string>")), F.array(F.lit("/(help|archive)")))
+    hit = F.filter(patterns, lambda p: F.regexp_like(F.col("url"), p))
     return _asked(spark, d).select("url", F.col("config.site_url").alias("site_url"), F.get(hit, F.lit(0)).alias("pattern")).filter("pattern IS NOT NULL")
 
 
@@ -178,7 +183,7 @@ def link_anchor_text(spark, d):
     return table(spark, d, "links").groupBy("name").agg(F.count("*").alias("n")).select("name", U.squash("name").alias("text"), "n")
 
 
-_FIRST = "SELECT dst, min((seq, pos)) AS m FROM links WHERE dst IS NOT NULL GROUP BY dst"
+_FIRST = "SELECT dst, min((seq, pos)) AS m FROM links WHERE dst IS NOT NULL AND attr IS DISTINCT FROM 'refresh' GROUP BY dst"
 
 
 @query(f"SELECT dst, row_number() OVER (ORDER BY m, dst) - 1 AS sortorder FROM ({_FIRST})")
@@ -205,9 +210,13 @@ def whitelisted_links(spark, d):
     return order.join(crawl.backlink_counts(links), "dst", "left").select("dst", "sortorder", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
-@query("SELECT item_id, regexp_extract(html_raw, '(?is)<meta\\b[^>]*http-equiv\\s*=\\s*[\"'']?refresh[\"'']?[^>]*content\\s*=\\s*[\"''][^\"'']*?url\\s*=\\s*([^\"''>\\s]+)', 1) AS target FROM items WHERE regexp_matches(html_raw, '(?is)<meta\\b[^>]*http-equiv\\s*=\\s*[\"'']?refresh[\"'']?[^>]*content\\s*=\\s*[\"''][^\"'']*?url\\s*=\\s*([^\"''>\\s]+)')")
+@query("SELECT item_id, site_url || regexp_extract(path, '^[^\\s]+') AS target FROM items WHERE html_raw IS NOT NULL AND site_url IS NOT NULL AND path IS NOT NULL AND regexp_matches(site_url || path, '^[^\"''>]+$') AND regexp_matches(path, '^[^\\s]')")
 def meta_refresh(spark, d):
-    return table(spark, d, "items").filter("html_raw IS NOT NULL").select("item_id", pages.meta_refresh(F.col("html_raw")).alias("target")).filter("target IS NOT NULL")
+    """Pages of these tables have no refresh: each gets one, to its own address."""
+    rows = table(spark, d, "items").filter("html_raw IS NOT NULL AND site_url IS NOT NULL AND path IS NOT NULL").withColumn("to", F.concat("site_url", "path"))
+    rows = rows.filter(F.rlike("to", F.lit("^[^\"'>]+$")) & F.rlike("path", F.lit(r"^\S")))
+    page = F.concat(F.lit('<META Http-Equiv="Refresh" content="5; URL='), F.col("to"), F.lit('">\n'), F.col("html_raw"))
+    return rows.select("item_id", pages.meta_refresh(page).alias("target"))
 
 
 @query(f"SELECT coalesce({HEADER.format('content-type')}, '') AS content_type, lower(trim(string_split(coalesce({HEADER.format('content-type')}, ''), ';')[1])) AS mimetype, lower(regexp_extract(coalesce({HEADER.format('content-type')}, ''), '(?i)charset\\s*=\\s*[\"'']?([^\\s;\"'']+)', 1)) AS charset, count(*) AS n FROM fetches GROUP BY 1, 2, 3")
@@ -260,12 +269,15 @@ def cache_filename(spark, d):
     return rows.select("item_id", U.cache_file("path").alias("file"), U.filename("path").alias("name"), U.extension("path").alias("extension"))
 
 
-@query("""WITH p AS (SELECT DISTINCT path, string_split(path, '/') AS s FROM items WHERE path IS NOT NULL AND path <> ''),
+@query("""WITH i AS (SELECT path FROM items UNION SELECT string_split(path, '/')[1] FROM items WHERE path LIKE '%/%'),
+    p AS (SELECT DISTINCT path, string_split(path, '/') AS s FROM i WHERE path IS NOT NULL AND path <> ''),
     u AS (SELECT DISTINCT array_to_string(s[1:i], '/') AS dir FROM (SELECT s, unnest(range(1, len(s))) AS i FROM p))
-    SELECT DISTINCT path, path || '/.content' AS file FROM items WHERE path IN (SELECT dir FROM u)""")
+    SELECT DISTINCT path, path || '/.content' AS file FROM p WHERE path IN (SELECT dir FROM u)""")
 def cache_dir_collision(spark, d):
-    """Paths that are directories of other paths, and where they are kept."""
-    rows = cache.with_files(table(spark, d, "items")).filter(F.endswith("cache_path", F.lit("/.content")))
+    """Paths that are directories of other paths, and where they are kept. The first directory of each path is a page too."""
+    items = table(spark, d, "items")
+    upper = items.filter(F.contains("path", F.lit("/"))).withColumn("path", F.split_part("path", F.lit("/"), F.lit(1)))
+    rows = cache.with_files(items.unionByName(upper)).filter(F.endswith("cache_path", F.lit("/.content")))
     return rows.select("path", F.col("cache_path").alias("file")).distinct()
 
 
@@ -275,10 +287,75 @@ def cache_lookup_join(spark, d):
     return hits.select("url", F.lit(1).alias("hit")).unionByName(misses.select("url", F.lit(0).alias("hit")))
 
 
-@query("""SELECT regexp_replace(path, '[^/]*$', '') AS directory, arg_min(path, (list_position(['.content', 'index.html', 'index.htm', 'index_html'], string_split(path, '/')[-1]), path)) AS path
-    FROM items WHERE string_split(path, '/')[-1] IN ('.content', 'index.html', 'index.htm', 'index_html') GROUP BY 1""")
+@query("""WITH i AS (SELECT path FROM items UNION ALL SELECT regexp_replace(path, '[^/]*$', '') || CASE WHEN content_text IS NULL THEN 'index.htm' WHEN html_raw IS NULL THEN '.content' ELSE 'index_html' END FROM items)
+    SELECT regexp_replace(path, '[^/]*$', '') AS directory, arg_min(path, (list_position(['.content', 'index.html', 'index.htm', 'index_html'], string_split(path, '/')[-1]), path)) AS path
+    FROM i WHERE string_split(path, '/')[-1] IN ('.content', 'index.html', 'index.htm', 'index_html') GROUP BY 1""")
 def cache_index_resolution(spark, d):
-    return store.index_of(table(spark, d, "items").select("path"))
+    """The directories of all items, with index files of three kinds beside them."""
+    items = table(spark, d, "items")
+    name = F.when(F.col("content_text").isNull(), "index.htm").when(F.col("html_raw").isNull(), ".content").otherwise("index_html")
+    return store.index_of(items.select("path").unionByName(items.select(F.concat(F.regexp_replace("path", "[^/]*$", ""), name).alias("path"))))
+
+
+@query("SELECT url, list_filter(['/about', '(?i)ARCHIVE', '\\.(asp|html?)$'], lambda p: regexp_matches(url, p))[1] AS pattern FROM (SELECT DISTINCT dst AS url FROM links WHERE dst IS NOT NULL)")
+def crawl_match_first(spark, d):
+    """Of some patterns the first that each link target matches."""
+    urls = table(spark, d, "links").filter("dst IS NOT NULL").select(F.col("dst").alias("url")).distinct()
+    return urls.select("url", filters.first_match(F.col("url"), ("/about", "(?i)ARCHIVE", r"\.(asp|html?)$")).alias("pattern"))
+
+
+@query(f"""WITH o AS (SELECT DISTINCT {ORIGIN.format('site_url')} AS o FROM crawl_configs WHERE NOT coalesce(ignore_robots, false) AND site_url IS NOT NULL),
+    u AS (SELECT DISTINCT dst AS url, {ORIGIN.format('dst')} AS o, regexp_replace(dst, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*', '') AS p FROM links WHERE dst IS NOT NULL)
+    SELECT url, o.o IS NULL OR starts_with(p, '/archive/2023') OR NOT (starts_with(p, '/archive') OR starts_with(p, '/help')) AS allowed FROM u LEFT JOIN o ON o.o = u.o""")
+def robots_gate(spark, d):
+    """Link targets under the rules of the hosts whose crawls heed them: no archive but that of 2023, and no help."""
+    hosts = table(spark, d, "crawl_configs").filter("site_url IS NOT NULL AND NOT coalesce(ignore_robots, false)").select(U.origin("site_url").alias("origin")).distinct()
+    rules = hosts.select("origin", F.explode(F.array(*(F.struct(F.lit(p).alias("prefix"), F.lit(a).alias("allow")) for p, a in (("/archive", False), ("/archive/2023", True), ("/help", False))))).alias("r")).select("origin", "r.*")
+    urls = table(spark, d, "links").filter("dst IS NOT NULL").select(F.col("dst").alias("url")).distinct()
+    return filters.robots_verdict(urls, rules).select("url", "allowed")
+
+
+@query("""WITH c AS (SELECT site_url, regexp_replace(site_url, '/$', '') AS root, coalesce(start_urls, []) AS u FROM crawl_configs WHERE site_url IS NOT NULL),
+    f AS (SELECT site_url, root, list_filter(list_distinct(u), lambda x: x IS NOT NULL AND regexp_replace(x, '/+$', '') <> root) AS s, u FROM c),
+    g AS (SELECT site_url, list_append(list_sort(s, 'ASC'), root || '/') AS l FROM f) SELECT site_url, unnest(l) AS url FROM g""")
+def crawl_seeds(spark, d):
+    """The start URLs of every crawl and its root."""
+    return crawl.seeds_of(table(spark, d, "crawl_configs")).select("site_url", "url")
+
+
+@query("SELECT item_id, coalesce(cardinality(content_info) > 0 AND (coalesce(length(content_text) > 0, false) OR content_bin IS NOT NULL), false) AS emits FROM items")
+def emit_condition(spark, d):
+    return table(spark, d, "items").select("item_id", filters.can_emit(F.col("content_info"), F.col("content_text"), F.col("content_bin")).alias("emits"))
+
+
+@query(f"SELECT url, count(*) AS n, count_if(coalesce(lower(trim(string_split(coalesce({HEADER.format('content-type')}, ''), ';')[1])) IN ({', '.join(repr(t) for t in HTML_TYPES)}), false)) AS html FROM fetches GROUP BY url")
+def html_responses(spark, d):
+    html = filters.is_html(U.media_type(U.header("content_info", "content-type")))
+    return table(spark, d, "fetches").groupBy("url").agg(F.count("*").alias("n"), F.count_if(html).alias("html"))
+
+
+@query("SELECT item_id, trim(regexp_replace(regexp_extract(html_raw, '(?is)<title\\b[^>]*>(.*?)</title', 1), '\\s+', ' ', 'g')) AS title FROM items WHERE html_raw IS NOT NULL")
+def page_title_text(spark, d):
+    return table(spark, d, "items").filter("html_raw IS NOT NULL").select("item_id", pages.title(F.col("html_raw")).alias("title"))
+
+
+@query("SELECT item_id, site_url || redir AS location FROM items WHERE redir IS NOT NULL")
+def cache_redirects(spark, d):
+    """The header that is kept of a redirect."""
+    rows = table(spark, d, "items").filter("redir IS NOT NULL")
+    return rows.select("item_id", F.element_at(cache.headers_to_keep(), "location").alias("location"))
+
+
+@query("""SELECT item_id, CASE WHEN redir IS NOT NULL THEN NULL WHEN type = 'Document' THEN octet_length(encode(text)) WHEN type = 'File' THEN octet_length(file.data) WHEN type = 'Image' THEN octet_length(image.data)
+    WHEN type IN ('Folder', 'ContentFolder') THEN NULL ELSE coalesce(octet_length(encode(html_raw)), octet_length(encode(content_text)), octet_length(content_bin)) END AS bytes FROM items""")
+def cache_content(spark, d):
+    """The size of what is kept of each item, by its type."""
+    return table(spark, d, "items").select("item_id", F.octet_length(cache.routed_content()).cast("bigint").alias("bytes"))
+
+
+@query("SELECT DISTINCT path, replace(url_encode(path), '%2F', '/') AS quoted FROM items WHERE path IS NOT NULL AND NOT contains(path, '*')")
+def url_quote(spark, d):
+    return table(spark, d, "items").filter("path IS NOT NULL AND NOT contains(path, '*')").select("path", U.quote("path").alias("quoted")).distinct()
 
 
 @query("""WITH p AS (SELECT DISTINCT string_split(path, '/') AS s FROM cache_files WHERE path IS NOT NULL AND path <> ''), e AS (SELECT s, unnest(range(1, len(s) + 1)) AS i FROM p)
@@ -303,7 +380,7 @@ def drop_condition(spark, d):
     SELECT DISTINCT regexp_replace(src, '/$', '') AS src, dst FROM links WHERE {ORIGIN.format('src')} = {ORIGIN.format('dst')}) l ON l.src = r.url) SELECT url FROM r""")
 def crawl_bfs(spark, d):
     """What the crawls' roots reach by links within a host."""
-    links = table(spark, d, "links").filter(U.origin("src") == U.origin("dst")).select(U.strip_slash("src").alias("src"), "pos", "dst").dropDuplicates(["src", "dst"])
+    links = table(spark, d, "links").filter(U.origin("src") == U.origin("dst")).select(U.strip_slash("src").alias("src"), "pos", "dst")
     start = table(spark, d, "crawl_configs").filter("site_url IS NOT NULL").select(U.site_root("site_url").alias("url"), F.lit(0).cast("bigint").alias("seq"))
     return crawl.traverse(start, links, order=False).select("url")
 

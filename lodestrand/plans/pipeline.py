@@ -5,12 +5,16 @@ from __future__ import annotations
 import configparser
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from urllib.parse import urlsplit
+from urllib.request import url2pathname
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrand.config import CrawlConfig
+from lodestrand.functions.urls import header, media_type
 from lodestrand.operators import crawl, filters, pages, recognise
+from lodestrand.schema import FETCH
 from lodestrand.sinks import cache
 from lodestrand.sources import store
 
@@ -20,10 +24,11 @@ SECTIONS: dict[str, Section] = {}
 
 @dataclass
 class Context:
-    """What sections share: the session and named DataFrames they may read (such as `fetches`)."""
+    """What sections share: the session, named DataFrames they may read (such as `fetches`), and what fetches live."""
 
     spark: SparkSession
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    fetcher: store.Fetcher | None = None
 
 
 def section(name: str) -> Callable[[Section], Section]:
@@ -40,7 +45,8 @@ def section(name: str) -> Callable[[Section], Section]:
 def _crawl(ctx: Context, options: Mapping[str, str], previous: DataFrame | None) -> DataFrame | None:
     """Upstream rows, then those of the crawl. Without a site only the upstream. Responses come from the table `fetches`,
     or from the tree of files in the option `cache`. Rules of robots files come from the table `robots` (origin, prefix,
-    allow), unless `ignore_robots`; without that table everything is allowed."""
+    allow), unless `ignore_robots`; without that table everything is allowed. A site of a file URL is read from its
+    folder. With the context's `fetcher` what is reached but not kept is fetched, until nothing is missing."""
     if not (options.get("site_url") or options.get("url")):
         return previous
     config = CrawlConfig.of(options)
@@ -48,11 +54,33 @@ def _crawl(ctx: Context, options: Mapping[str, str], previous: DataFrame | None)
     if config.cache:
         tree = store.tree_fetches(ctx.spark, config.cache, config.site_url)
         fetches = tree if fetches is None else tree.unionByName(fetches.join(tree.select("url"), "url", "left_anti"))
-    if fetches is None:
-        raise ValueError("a crawl needs the table fetches or the option cache")
-    fetches = store.latest(fetches)
-    from lodestrand.functions.urls import header, media_type
+    if config.site_url.startswith("file:"):
+        tree = store.tree_fetches(ctx.spark, url2pathname(urlsplit(config.site_url).path), config.site_url)
+        fetches = tree if fetches is None else fetches.unionByName(tree.join(fetches.select("url"), "url", "left_anti"))
+    if fetches is None and ctx.fetcher is None:
+        raise ValueError("a crawl needs the table fetches, the option cache, a file URL or a fetcher")
+    fetches = ctx.spark.createDataFrame([], FETCH) if fetches is None else store.latest(fetches)
+    rules = None if config.ignore_robots else ctx.tables.get("robots")
+    while True:
+        clean, edges, html = _parsed(config, fetches)
+        reached = crawl.traverse(crawl.seeds(ctx.spark, config), edges, reject=filters.verdict(F.col("url"), config), rules=rules, max_pages=config.max)
+        if ctx.fetcher is None:
+            break
+        missing = reached.filter("reason IS NULL").select("url").join(fetches.select("url"), "url", "left_anti")
+        if missing.isEmpty():
+            break
+        got = cache.materialise(store.fetch_missing(missing, fetches, ctx.fetcher), "fetched")
+        silent = missing.join(got.select("url"), "url", "left_anti").select("url", F.col("url").alias("final_url"), F.lit("no response").alias("error"))
+        fetches = fetches.unionByName(got.select(*fetches.columns)).unionByName(silent, allowMissingColumns=True)
+        fetches = cache.materialise(fetches.select(*got.columns), "fetches")
+    ordered = edges.join(reached.select(F.col("url").alias("src"), "place"), "src").withColumn("seq", F.col("place")).drop("place")
+    body = fetches.withColumn("body", F.when(~html, F.col("body")))
+    items = crawl.crawl_items(config, body, ordered, clean, rules=rules, reached=reached).drop("place", "turn")
+    return items if previous is None else crawl.union_upstream(previous, items)
+
 
+def _parsed(config: CrawlConfig, fetches: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
+    """(pages, links, test for HTML) of responses, each parsed once: both tables are written."""
     html = filters.is_html(media_type(header("content_info", "content-type")))
     page = fetches.filter(html)
     decoded = pages.decode_pages(page.filter("html IS NULL").select("url", "body", header("content_info", "content-type").alias("content_type")))
@@ -64,12 +92,7 @@ def _crawl(ctx: Context, options: Mapping[str, str], previous: DataFrame | None)
     asked = fetches.select(F.coalesce("final_url", "url").alias("src"), F.col("url").alias("asked"))
     edges = crawl.with_root(links.join(asked, "src").withColumn("src", F.col("asked")).drop("asked"), config)
     clean = pages.clean_pages(patched.select("url", "html")).join(patched.select("url", "html_raw"), "url")
-    rules = None if config.ignore_robots else ctx.tables.get("robots")
-    reached = crawl.traverse(crawl.seeds(ctx.spark, config), edges, reject=filters.verdict(F.col("url"), config), rules=rules, max_pages=config.max)
-    ordered = edges.join(reached.select(F.col("url").alias("src"), "place"), "src").withColumn("seq", F.col("place")).drop("place")
-    body = fetches.withColumn("body", F.when(~html, F.col("body")))
-    items = crawl.crawl_items(config, body, ordered, clean, rules=rules).drop("place", "turn")
-    return items if previous is None else crawl.union_upstream(previous, items)
+    return cache.materialise(clean, "crawl-pages"), cache.materialise(edges, "crawl-links"), html
 
 
 @section("typerecognitor")
@@ -103,6 +126,13 @@ def _delete(ctx: Context, options: Mapping[str, str], previous: DataFrame | None
     return previous.drop(*options["delete"].split())
 
 
+@section("print")
+def _print(ctx: Context, options: Mapping[str, str], previous: DataFrame | None) -> DataFrame | None:
+    """Show the first rows (option `rows`, 20) and hand all on."""
+    previous.show(int(options.get("rows", "20")), truncate=int(options.get("width", "80")))
+    return previous
+
+
 @section("inline")
 def _inline(ctx: Context, options: Mapping[str, str], previous: DataFrame | None) -> DataFrame | None:
     """Rows written in the pipeline: one `path=html` to a line of the option `pages`."""

@@ -20,8 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir, or one of our own in local mode. On a cluster there is
+    no such folder unless the setting names it, so its absence is an error there."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not folder:
         folder = "file://" + tempfile.mkdtemp(prefix="lodestrand-")
         _own.append(folder[len("file://"):])
@@ -32,11 +35,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder. It is removed when the driver's process ends."""
-    path = f"{shared_dir(spark)}/lodestrand-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        _own.append(path.removeprefix("file://"))
-    return path
+    """A new path in the shared folder. It is removed when the driver ends."""
+    own = f"{shared_dir(spark)}/lodestrand-{spark.sparkContext.applicationId}"
+    sc = spark.sparkContext
+    if getattr(sc, "_lodestrand_scratch", None) != own:
+        target = spark._jvm.org.apache.hadoop.fs.Path(own)
+        fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(target)
+        fs.deleteOnExit(target)  # by whatever file system it lies on, when the driver's JVM ends
+        sc._lodestrand_scratch = own
+    return f"{own}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 def materialise(df: DataFrame, label: str, *, partition_by: list[str] | None = None) -> DataFrame:
