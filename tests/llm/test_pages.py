@@ -60,13 +60,55 @@ def test_own_content(items):
     assert got[112] == {1} and not {110, 111} & set(got)
 
 
+def test_path_ratios_decide():
+    """Lines that nothing repeats, in a side box: the ratio of their path rejects them, and without it they stay."""
+    body = ["<html>", "<body>", "<div class=main>", "<h1>How the mill was built</h1>", "<p>The harbour was painted, and the ferry left early; nobody asked why.</p>", "</div>"]
+    text = "\n".join([*body, "<div class=side>", "<li>Become a quarry member and save</li>", "<li>Desk open daily from ten</li>", "</div>", "</body>", "</html>"])
+    lines = read_page(text, "http://a.test")
+    entry = lambda value: [{"kind": content.PATH, "key": content.key(x.leaf), "value": value(x)} for x in lines]
+    told = content.own_content(lines, content.Notes(entry(lambda x: 3.0 if "side" in x.box else 20.0)))
+    assert told == [True, True, False, False]
+    assert content.own_content(lines, content.Notes(entry(lambda x: 99.0))) == [True] * 4
+    framed = content.Notes(entry(lambda x: 99.0), frozenset(content.frames_of(lines[2], normal(lines[2].text))))
+    assert content.own_content(lines, framed) == [True, True, False, True]
+
+
+def test_frames_are_learned_from_low_paths(spark):
+    data = []
+    for s in range(6):
+        for i in range(12):
+            side = ['<div class="side">', f"<li>Follow our {WORDS[i]} channels</li>", f"<li>{WORDS[(i + s) % 12]} {i}</li>", "</div>"]
+            advert = [f"<p>Follow our {WORDS[(i + s) % 12]} {WORDS[s]} channels</p>"] if i % 3 == 0 else []
+            data.append((100 * s + i, f"http://s{s}.test", "\n".join(["<html>", "<body>", *side, '<div class="main">', *prose(100 * s + i), *advert, "</div>", "</body>", "</html>"])))
+    df = spark.createDataFrame(data, "item_id bigint, site_url string, content_text string")
+    _, frames, _ = content.site_notes(content.pages_of(df))
+    assert content.key("follow our") in frames
+    text = {i: t.split("\n") for i, _, t in data}
+    kept = [text[i][n - 1] for i, n in rows(content.content_lines(df))]
+    assert len(kept) == 72 * 5 and not any("Follow our" in x for x in kept)
+
+
+def test_foreign_backlinks(spark):
+    links = lambda *urls: [(u, "x") for u in urls]
+    data = [(1, "http://a.test/", links("http://b.test/1", "HTTP://c.test/2", "http://d.test")), (2, "http://a.test", links("http://A.test/1", "http://a.test/2", "http://a.test/3", "http://b.test")), (3, None, None), (4, "http://a.test", [])]
+    df = spark.createDataFrame(data, "item_id bigint, site_url string, backlinks array<struct<url:string,name:string>>")
+    assert rows(spam.foreign_links(df, "item_id", "site_url", "backlinks")) == [(1,)]
+
+
+def test_copies_of_spam_do_not_vouch_for_each_other(spark):
+    good = [(i, "http://a.test", page(i, prose(i)), None) for i in range(40)]
+    bad = "\n".join(["<html>", "<body>", '<div class="main">', "<h1>Odd salad</h1>", "<p>" + " ".join(f"{WORDS[(7 * k) % 12]}{k} mill{k % 9}" for k in range(60)) + ".</p>", "</div>", "</body>", "</html>"])
+    df = spark.createDataFrame([*good, *[(1000 + i, "http://c.test", bad, None) for i in range(30)]], "item_id bigint, site_url string, content_text string, backlinks array<struct<url:string,name:string>>")
+    assert rows(spam.spam_pages(df)) == [(1000 + i,) for i in range(30)]
+
+
 def test_content_of_no_rows(items):
     assert content.content_lines(items.limit(0)).count() == 0
 
 
 def test_hot_sites_are_salted(items, monkeypatch):
     monkeypatch.setattr(content, "HOT_PAGES", 1)
-    _, spread = content.site_notes(content.pages_of(items))
+    _, _, spread = content.site_notes(content.pages_of(items))
     assert spread["http://a.test"] > 1
     assert {i for i, _ in rows(content.content_lines(items))} >= set(range(40))
 
@@ -100,8 +142,8 @@ def test_residue_of_parts(parts, want):
 
 
 def test_spam(items):
-    assert rows(spam.spam_pages(items)) == [(105,), (106,)]
-    assert spam.spam_pages(items.limit(0)).count() == 0
+    assert rows(spam.spam_pages(items, backlinks=None)) == [(105,), (106,)]
+    assert spam.spam_pages(items.limit(0), backlinks=None).count() == 0
 
 
 def test_scores_against_brute_force(items):
@@ -118,11 +160,14 @@ def test_scores_against_brute_force(items):
     for s in seqs.values():
         uni.update({w for ws in s for w in ws})
         bi.update({p for ws in s for p in zip(ws, ws[1:], strict=False)})
-    pages = items.filter("content_text IS NOT NULL").count()
-    for r in spam.scores(items).collect():
+    scored = spam.scores(content.pages_of(items)).collect()
+    assert {r["item_id"] for r in scored} >= {105, 106}
+    for r in scored:
         pairs = [p for ws in seqs[r["item_id"]] for p in zip(ws, ws[1:], strict=False)]
-        want = sum(math.log(bi[p] * pages / (uni[p[0]] * uni[p[1]])) for p in pairs) / len(pairs)
-        assert abs(r["pmi"] - want) < 1e-9 and abs(r["repeated"] - (1 - len(set(pairs)) / len(pairs))) < 1e-9
+        each = [math.log(((bi[p] - 1 if bi[p] > spam.SEEN else 0) + spam.UNSEEN) / min(max(uni[p[0]] - 1, 1), max(uni[p[1]] - 1, 1))) for p in pairs]
+        want = sum(each) / len(pairs)
+        error = math.sqrt(sum((x - want) ** 2 for x in each) / len(pairs) / len(set(pairs)))
+        assert abs(r["pmi"] - want) < 1e-9 and abs(r["error"] - error) < 1e-6 and abs(r["repeated"] - (1 - len(set(pairs)) / len(pairs))) < 1e-9
 
 
 def repeated_by_hand(items, min_items=8, share=0.1):

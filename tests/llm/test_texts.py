@@ -57,6 +57,20 @@ def test_large_leaves_that_never_split(spark):
     assert neardup.join_texts(df, limit=3).pairs().count() == 40 * 39 // 2
 
 
+def test_a_family_of_near_copies_is_compared_where_it_first_meets(spark):
+    base = texts(1, 9)[0].split()
+    change = lambda i: [f"v{i}" if (k * 7 + i) % 97 == 0 else w for k, w in enumerate(base)]
+    df = spark.createDataFrame([(i, " ".join(change(i))) for i in range(300)], "item_id bigint, content_text string")
+    join = neardup.join_texts(df)
+    leaves = join._leaves()
+    first = join.repeats * 2**neardup.FIRST_DEPTH
+    assert leaves.count() <= 2 * first * 300  # splitting on to the deepest level would give thousands of rows a set
+    assert leaves.agg({"size": "max"}).first()[0] > 16
+    want = {(a, b) for a, b in brute(list(enumerate(r["content_text"] for r in df.orderBy("item_id").collect())))}
+    got = {(r["a"], r["b"]) for r in join.links.collect()}
+    assert got <= want and len(got) >= 0.99 * len(want) > 1000
+
+
 def test_join_of_nothing(spark):
     df = spark.createDataFrame([(1, "a b c")], "item_id bigint, content_text string")
     join = neardup.join_texts(df)
