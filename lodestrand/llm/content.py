@@ -233,10 +233,11 @@ def _frames(lines: DataFrame, repeated: DataFrame, paths: DataFrame, pages: int)
     return frozenset(r["frame"] for r in found.select("frame").collect())  # bounded by FRAME_PAGES
 
 
-def read_pages(pages: DataFrame, f, schema: str) -> DataFrame:
+def read_pages(pages: DataFrame, f, schema: str, learned: tuple | None = None) -> DataFrame:
     """The second pass: f gets, task by task, what `each_page` gives of every page, and yields batches of the schema. Hot
-    sites are salted: their pages go to several tasks by a hash of the id, and their one row of notes to each of these."""
-    notes, frames, spread = site_notes(pages)
+    sites are salted: their pages go to several tasks by a hash of the id, and their one row of notes to each of these.
+    learned: what site_notes gave of these pages or of more, if they were counted before."""
+    notes, frames, spread = learned or site_notes(pages)
     many = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in spread.items() for x in kv)), F.col("site")), F.lit(1)) if spread else F.lit(1)
     salted = pages.withColumn("salt", F.pmod(F.xxhash64("item_id"), many).cast("int"))
     copied = notes.withColumn("salt", F.explode(F.sequence(F.lit(0), many - 1)))

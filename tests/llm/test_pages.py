@@ -170,6 +170,22 @@ def test_scores_against_brute_force(items):
         assert abs(r["pmi"] - want) < 1e-9 and abs(r["error"] - error) < 1e-6 and abs(r["repeated"] - (1 - len(set(pairs)) / len(pairs))) < 1e-9
 
 
+def test_every_page_is_scored(spark):
+    """Salad of a third or more of function words is found, ordinary writing of words that no other page has is not."""
+    import random
+
+    rng = random.Random(5)
+    known = " ".join(plain(x) for i in range(12) for x in prose(i)).lower().replace(",", " ").replace(";", " ").replace(".", " ").replace("?", " ").split()
+    salad = " ".join(rng.sample([w for w in known if w.isalpha()], 90))
+    assert sum(w in spam.FUNCTION for w in salad.split()) >= spam.SENTENCES * 90
+    rare = "A stranger arrived by the night coach and took the smallest of our rooms without a word to anybody"
+    wrap = lambda body: "\n".join(["<html>", "<body>", '<div class="main">', "<h1>Odd page</h1>", f"<p>{body}.</p>", "</div>", "</body>", "</html>"])
+    data = [*((i, "http://a.test", page(i, prose(i))) for i in range(40)), (200, "http://c.test", wrap(salad)), (201, "http://d.test", wrap(rare))]
+    df = spark.createDataFrame(data, "item_id bigint, site_url string, content_text string")
+    assert {r["item_id"] for r in spam.scores(content.pages_of(df)).collect()} == {*range(40), 200, 201}
+    assert rows(spam.spam_pages(df)) == [(200,)]
+
+
 def repeated_by_hand(items, min_items=8, share=0.1):
     from collections import Counter
 
