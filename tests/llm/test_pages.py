@@ -186,6 +186,37 @@ def test_every_page_is_scored(spark):
     assert rows(spam.spam_pages(df)) == [(200,)]
 
 
+def read_by_hand(pages):
+    """What read_pages gives an operator, without Spark."""
+    for i, text in enumerate(pages):
+        lines = read_page(text, "http://a.test")
+        yield None, i, lines, [True] * len(lines)
+
+
+def test_blocks_bound_what_is_held(monkeypatch):
+    """However many pages a task has, a batch holds one block; and the blocks together count what one block counts."""
+    from collections import Counter
+    from types import SimpleNamespace
+
+    monkeypatch.setattr(spam, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    pages = ["", "lone", *("\n".join(prose(i)) for i in range(200))]
+    counts, blocks = [], []
+    for most in (100, spam.BLOCK):
+        monkeypatch.setattr(spam, "BLOCK", most)
+        batches = list(spam._scan(read_by_hand(pages)))
+        assert all(b.num_rows <= 2 * (most + 100) for b in batches)
+        table = [r for b in batches for r in b.to_pylist()]
+        blocks.append({r["block"] for r in table})
+        counted = Counter()
+        for r in table:
+            if r["kind"] == spam.KEY:
+                counted[r["key"]] += r["n"]
+        counts.append(counted)
+        assert sorted(r["item_id"] for r in table if r["kind"] == spam.PAGE) == list(range(2, 202))
+    assert len(blocks[0]) > 50 and len(blocks[1]) == 1 and min(blocks[0]) == 3 << 32
+    assert counts[0] == counts[1]
+
+
 def repeated_by_hand(items, min_items=8, share=0.1):
     from collections import Counter
 
