@@ -64,6 +64,16 @@ def _any(kinds: dict[str, str], flags: int = 0) -> re.Pattern:
 
 OWN = {language: _any(kinds, re.I if language == "html" else 0) for language, kinds in OWN_KINDS.items()}
 SIGNS = {language: _any(kinds) for language, kinds in SIGN_KINDS.items()}
+# What a text must hold for any of a language's constructs, and a block for any of its signs, anywhere or first in it.
+# They follow from the patterns; where none is there, the slower patterns need not be tried.
+OWN_HINTS = {
+    "html": ("<", "&"),
+    "markdown": ("#", "===", "**", "~~", "](", "`", "---"),
+    "wiki": ("==", "[[", "''", "{{", "{|", "|}", "|-", "[http", "<ref", "</ref>", "<nowiki>", "#REDIRECT"),
+    "latex": ("\\", "$", "``"),
+}
+SIGN_HINTS = {"html": ("<", ">", "&"), "markdown": ("*", "_"), "wiki": ("''",), "latex": ("\\", "{", "}", "~", "^", "_", "&", "$")}
+SIGN_FIRST = {"markdown": re.compile(r"[-*+>|\d]"), "wiki": re.compile(r"[*#:;|!]")}
 # Pairs that hold the blocks between them together.
 HOLD = {
     "html": (re.compile(r"<(ul|ol|table|pre|dl|blockquote|div|p|h[1-6]|i|b)\b[^<>]*>", re.I), re.compile(r"</(ul|ol|table|pre|dl|blockquote|div|p|h[1-6]|i|b)\s*>", re.I)),
@@ -189,7 +199,15 @@ def spans(blocks: list[str], language: str) -> list[tuple[int, int]]:
 PRIOR: Costs = {language: {**dict.fromkeys(OWN_KINDS[language], OWN_COST), **{f"sign {k}": SIGN_COST for k in SIGN_KINDS[language]}} for language in ORDER}
 
 
+def hinted(text: str, language: str) -> bool:
+    """Whether a text may hold a construct of the language at all."""
+    return any(h in text for h in OWN_HINTS[language])
+
+
 def signs(block: str, language: str) -> set[str]:
+    first = SIGN_FIRST.get(language)
+    if not (first and first.match(block)) and not any(h in block for h in SIGN_HINTS[language]):
+        return set()
     return {f"sign {m.lastgroup}" for m in SIGNS[language].finditer(block)}
 
 
@@ -211,6 +229,8 @@ def label(blocks: list[str], language: str, own: list[list[str]], costs: Costs =
 def constructs(blocks: list[str], text: str, language: str) -> list[list[str]]:
     """The kinds of the language's constructs in each block; those of lines are matched in the whole text."""
     out: list[list[str]] = [[] for _ in blocks]
+    if not hinted(text, language):
+        return out
     starts, at = [], 0
     for b in blocks:
         starts.append(at)
@@ -238,7 +258,7 @@ def labels(text: str | None, costs: Costs = PRIOR) -> dict[str, list[bool]]:
     found = {}
     blocks = None
     for language in ORDER:
-        if not OWN[language].search(text):
+        if not hinted(text, language):
             continue
         blocks = blocks or text.split("\n")
         own = constructs(blocks, text, language)

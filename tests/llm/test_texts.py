@@ -141,6 +141,42 @@ def test_cut_of_a_chain(n, rng):
     assert markup.chain_cut(source, sink, near) == markup.min_cut(n, source, sink, {(i, i + 1): c for i, c in enumerate(near)})
 
 
+def test_plain_texts_try_no_pattern(monkeypatch):
+    plain = "It costs 40 - or so (see [1]) - and 3 = 3, they said; nobody's list_b: a, b.\nA second line."
+    monkeypatch.setattr(markup, "OWN", {})  # any use of a pattern would be a KeyError
+    monkeypatch.setattr(markup, "SIGNS", {})
+    assert markup.labels(plain) == {} and all(markup.constructs([plain], plain, x) == [[]] for x in markup.ORDER)
+    assert all(markup.signs("A second line.", x) == set() for x in markup.ORDER)
+
+
+MARKS = ["<", ">", "&", "amp;", "#", " ", "\n", "=", "==", "*", "~", "[", "]", "(", ")", "`", "|", "-", "---", ":", "'", "''", "{", "}", "\\", "$", "^", "_", "a", "1", "١", "p", "!", "http://a", "ref", "/ref", "nowiki", "REDIRECT", "section", "."]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(MARKS), max_size=14).map("".join))
+def test_hints_miss_no_pattern(text):
+    for x in markup.ORDER:
+        assert markup.hinted(text, x) or not markup.OWN[x].search(text)
+        for b in text.split("\n"):
+            assert markup.signs(b, x) == {f"sign {m.lastgroup}" for m in markup.SIGNS[x].finditer(b)}
+
+
+def test_every_construct_has_a_hint():
+    samples = {
+        "html": ["<p>", "<!-- a", "<!DOCTYPE html", "&eacute;"],
+        "markdown": ["# a", "a\n===", "**a**", "~~a~~", "[a](b)", "```", "`a`", "---|"],
+        "wiki": ["== a ==", "[[a]]", "'''a'''", "''a''", "{{a}}", "{| a", "|}", "|-", "[http://a b]", "<ref>", "</ref>", "<nowiki>", "#REDIRECT a"],
+        "latex": ["\\begin{a}", "\\section", "\\S", "$a_1$", "\\[", "\\(", "``a''"],
+    }
+    for x, texts in samples.items():
+        kinds = set()
+        for s in texts:
+            own = markup.constructs(s.split("\n"), s, x)
+            assert any(own), (x, s)
+            kinds |= {k for ks in own for k in ks}
+        assert kinds == set(markup.OWN_KINDS[x])
+
+
 def test_only_blocks_of_the_language_are_cleaned():
     plain = ["About 5~6 days in C:\\Section.", "A first plain line.", "A second plain line.", "A third plain line."]
     assert markup.clean("\n".join([*plain, "\\emph{a}~b"])) == "\n".join([*plain, "a b"])
